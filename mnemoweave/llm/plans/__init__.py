@@ -1,5 +1,5 @@
 """Registered queries of the subpackage and their SQL."""
 
-from mnemoweave.llm.plans import tokens
+from mnemoweave.llm.plans import splitting, tokens
 
-MODULES = (tokens,)
+MODULES = (splitting, tokens)
