@@ -1,5 +1,5 @@
 """Registered queries of the subpackage and their SQL."""
 
-from mnemoweave.llm.plans import splitting, tokens
+from mnemoweave.llm.plans import neardup, splitting, tokens
 
-MODULES = (splitting, tokens)
+MODULES = (neardup, splitting, tokens)
