@@ -1,5 +1,5 @@
 """Registered queries of the subpackage and their SQL."""
 
-from mnemoweave.llm.plans import neardup, splitting, tokens
+from mnemoweave.llm.plans import neardup, secrets, splitting, tokens
 
-MODULES = (neardup, splitting, tokens)
+MODULES = (neardup, secrets, splitting, tokens)
