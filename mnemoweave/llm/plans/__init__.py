@@ -1,5 +1,5 @@
 """Registered queries of the subpackage and their SQL."""
 
-from mnemoweave.llm.plans import neardup, pii, secrets, splitting, tokens
+from mnemoweave.llm.plans import language, neardup, pii, secrets, splitting, tokens
 
-MODULES = (neardup, pii, secrets, splitting, tokens)
+MODULES = (language, neardup, pii, secrets, splitting, tokens)
