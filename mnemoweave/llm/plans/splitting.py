@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemoweave.llm.splitting import all_parts, split, split_texts
+from mnemoweave.llm.splitting import all_items, split, split_texts
 from mnemoweave.session import table
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return all_parts(table(spark, sf_dir, "messages"), table(spark, sf_dir, "chunk_meta"))
+def _items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return all_items(table(spark, sf_dir, "messages"), table(spark, sf_dir, "chunk_meta"), table(spark, sf_dir, "size_limits"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The items that came out in more than one piece."""
-    pieces, _ = split(_parts(spark, sf_dir), table(spark, sf_dir, "size_limits"))
+    pieces, _ = split(_items(spark, sf_dir)[0], table(spark, sf_dir, "size_limits"))
     return pieces.groupBy("item_kind", "item_id").agg(F.count("*").alias("n")).where("n > 1").select("item_kind", "item_id")
 
 
 def p1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split_texts(_parts(spark, sf_dir), table(spark, sf_dir, "size_limits"))
+    return split_texts(*_items(spark, sf_dir), table(spark, sf_dir, "size_limits"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces}

@@ -1,11 +1,12 @@
 """Splitting oversized items at natural boundaries, by byte ranges.
 
-An item is a sequence of parts (a message is one part, a chunk has one per message). Its parts' lengths are summed up
-to offsets by blocks, so no task holds an item. Cut k is sought in the window ``(k * stride - reach, k * stride]`` of
-the item, whatever the other cuts are: workers look for the best boundary in the parts' bytes that the window
-covers, with a halo of some bytes on both sides, and the best of an item's window wins. Two following cuts are
-``stride + reach = limit - overlap`` bytes apart at most, so with its overlap no piece exceeds the limit. Pieces are then
-emitted by offset. Nothing is done item by item in order: an item of any size is cut by all workers at once.
+An item is a sequence of parts (a message is one part, a chunk has one per message). In one pass beside the scan, each
+text's bytes are gone through in ranges (with a halo, so that a boundary across an edge is seen); a range leaves the best
+boundary it holds, so a text becomes a boundary table of some bytes per range, and texts themselves are never moved.
+Lengths are summed up to offsets by blocks, so no task holds an item. Cut k is sought in the window
+``(k * stride - reach, k * stride]`` of the item, whatever the other cuts are: the entries of the stitched tables in that
+window compete. Two following cuts are ``stride + reach = limit - overlap`` bytes apart at most, so with its overlap no
+piece exceeds the limit. Nothing is done item by item in order: an item of any size is cut by all workers at once.
 
 Positions are UTF-8 bytes; each part is padded to whole tokens of four bytes, as its size is rounded up. Two tokens of
 the limit are kept for the rounding of the first and last fragment of a piece.
@@ -13,47 +14,62 @@ the limit are kept for the rounding of the first and last fragment of a piece.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes seen on both sides of a window, for boundaries at its edge.
-HALO = 8
+from mnemoweave.session import checkpointed
+
 #: Rows per block of the two-level sums.
 BLOCK = 65_536
-
-# From the strongest boundary to the weakest; each match ends where the next piece may begin.
-_LEVELS = (
-    (4, re.compile(rb"\n[ \t\r]*\n\s*")),
-    (3, re.compile(rb"\n")),
-    (2, re.compile(rb"(?:[.!?;:]['\")\]]*\s+|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)")),
-    (1, re.compile(rb"\s+")),
+#: Bytes of a range: the largest, and the least however small the limits are.
+RANGE, LEAST_RANGE = 256, 8
+
+# What ends a paragraph, a line, a sentence, a word. The next piece begins behind it.
+_ENDS = (
+    (4, (b"\n\n", b"\n\r\n")),
+    (3, (b"\n",)),
+    (2, (b". ", b"! ", b"? ", b"; ", ".\u3000".encode(), "\u3002".encode(), "\uff01".encode(), "\uff1f".encode())),
+    (1, (b" ", b"\t", "\u3000".encode())),
 )
 
 
-def best_boundary(window: bytes, low: int, high: int) -> tuple[int, int]:
+def best_boundary(text: bytes, low: int, high: int) -> tuple[int, int]:
     """(level, position) of the best place in ``low < position <= high`` to begin the next piece.
 
-    The strongest level wins, then the last place. Without any, the last whole character (level 0).
+    The strongest level wins, then the last place. Without any, the start of the last character (level 0).
     """
-    for level, pattern in _LEVELS:
-        found = -1
-        for m in pattern.finditer(window):
-            if m.end() > high:
-                break
-            if m.end() > low:
-                found = m.end()
-        if found >= 0:
-            return level, found
+    for level, ends in _ENDS:
+        at = max(i + len(e) if (i := text.rfind(e, max(0, low + 1 - len(e)), high)) >= 0 else -1 for e in ends)
+        if at > low:
+            return level, at
     at = high
-    while at > low + 1 and at < len(window) and window[at] & 0xC0 == 0x80:
+    while at > low + 1 and at < len(text) and text[at] & 0xC0 == 0x80:
         at -= 1
     return 0, at
 
 
+def boundary_tables(texts: DataFrame, size: int = RANGE) -> DataFrame:
+    """(part_no, __len, __bytes, __table) of (part_no, text): per range of `size` bytes level and position, as
+    ``level << 48 | position``. Null and empty texts have length 0 and an empty table."""
+    kind = texts.schema["part_no"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lengths, sizes, tables = [], [], []
+            for t in b.column(1).to_pylist():
+                raw = t.encode("utf-8", "replace") if t else b""
+                n = len(raw)
+                sizes.append(n)
+                lengths.append(-(-n // 4) * 4)
+                tables.append([level << 48 | at for lo in range(0, n, size) for level, at in (best_boundary(raw, lo, min(n, lo + size)),) if at < n])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lengths, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tables, pa.list_(pa.int64()))], ["part_no", "__len", "__bytes", "__table"])
+
+    return texts.select("part_no", "text").mapInArrow(run, f"part_no {kind}, __len long, __bytes long, __table array<long>")
+
+
 def offsets(parts: DataFrame, item: list[str], order: str, length: str) -> DataFrame:
     """parts with ``__off``, the sum of the lengths before: sums of blocks of `order` first, then inside each block."""
     blocked = parts.withColumn("__block", F.floor(F.col(order) / BLOCK))
@@ -67,104 +83,86 @@ def offsets(parts: DataFrame, item: list[str], order: str, length: str) -> DataF
     )
 
 
-def message_parts(messages: DataFrame) -> DataFrame:
-    """(item_kind, item_id, part_no, text) of messages: one part each."""
-    return messages.select(F.lit("message").alias("item_kind"), F.col("seq").cast("string").alias("item_id"), F.col("seq").alias("part_no"), "text")
+def message_items(tables: DataFrame) -> DataFrame:
+    """(item_kind, item_id, part_no, ...) of messages: one part each."""
+    return tables.select(F.lit("message").alias("item_kind"), F.col("part_no").cast("string").alias("item_id"), "*")
 
 
-def covering(messages: DataFrame, chunk_meta: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(item_kind, item_id, part_no, text): the messages of each chunk. Repeated chunk rows count once.
+def chunk_items(tables: DataFrame, chunk_meta: DataFrame, block: int = 1024) -> DataFrame:
+    """(item_kind, item_id, part_no, ...): the messages of each chunk. Repeated chunk rows count once.
 
-    A range join by blocks of `seq`: each chunk is listed under the blocks it touches, so it is an equi-join.
+    A range join by blocks of `part_no`: each chunk is listed under the blocks it touches, so it is an equi-join.
     """
     ranges = chunk_meta.where("chunk_id is not null and first_seq <= last_seq").select("chunk_id", "first_seq", "last_seq").distinct()
     listed = ranges.withColumn("__b", F.explode(F.sequence(F.floor(F.col("first_seq") / block), F.floor(F.col("last_seq") / block))))
-    left = messages.select("seq", "text").withColumn("__b", F.floor(F.col("seq") / block))
     return (
-        left.join(listed, "__b")
-        .where("seq between first_seq and last_seq")
-        .select(F.lit("chunk").alias("item_kind"), F.col("chunk_id").alias("item_id"), F.col("seq").alias("part_no"), "text")
+        tables.withColumn("__b", F.floor(F.col("part_no") / block))
+        .join(listed, "__b")
+        .where("part_no between first_seq and last_seq")
+        .select(F.lit("chunk").alias("item_kind"), F.col("chunk_id").alias("item_id"), *tables.columns)
     )
 
 
-def chunk_parts(messages: DataFrame, chunk_meta: DataFrame) -> DataFrame:
-    """As :func:`covering`, in blocks small enough to spread any number of chunks."""
-    return covering(messages, chunk_meta, 1024)
-
+def _measures(size_limits: DataFrame) -> DataFrame:
+    """Per kind: the limit and the measures of its cuts. Kinds without a limit are left out."""
+    limits = size_limits.where("max_tokens is not null").groupBy("item_kind").agg(F.min("max_tokens").alias("max_tokens"), F.coalesce(F.min("overlap_tokens"), F.lit(0)).alias("overlap_tokens"))
+    # the overlap may be half of the limit at most, else pieces would hardly advance
+    room = F.greatest((F.col("max_tokens") - 2) * 4, F.lit(8))
+    over = F.least(F.col("overlap_tokens") * 4, F.floor(room / 8) * 4)
+    out = limits.withColumn("__over", over.cast("long")).withColumn("__step", (room - over).cast("long"))
+    return out.withColumn("__reach", F.greatest(F.floor(F.col("__step") / 4), F.lit(4)).cast("long")).withColumn("__stride", F.col("__step") - F.col("__reach")).drop("overlap_tokens")
 
-def oversized(parts: DataFrame, size_limits: DataFrame) -> DataFrame:
-    """The parts of the items above their kind's limit, with ``__len`` (padded bytes), ``max_tokens``, ``overlap_tokens``.
 
-    Kinds without a limit have none. Sizes are summed on the map side before the shuffle; only the ids of the items
-    found go on.
-    """
-    limits = size_limits.where("max_tokens is not null").groupBy("item_kind").agg(F.min("max_tokens").alias("max_tokens"), F.coalesce(F.min("overlap_tokens"), F.lit(0)).alias("overlap_tokens"))
-    sized = parts.withColumn("__len", F.ceil(F.coalesce(F.octet_length("text"), F.lit(0)) / 4).cast("long") * 4)
-    return sized.join(F.broadcast(limits), "item_kind")
+def range_size(size_limits: DataFrame) -> int:
+    """Bytes per range such that the smallest window holds several. The limits' table has one row per kind."""
+    least = _measures(size_limits).agg(F.min("__reach")).first()[0]
+    return max(LEAST_RANGE, min(RANGE, (least or RANGE) // 8))
 
 
 def _cut_points(parts: DataFrame) -> DataFrame:
-    """(item_kind, item_id, k, cut, level) from parts with offsets, lengths and the item's total."""
-    first = F.greatest(F.lit(1), F.floor(F.col("__off") / F.col("__stride")).cast("long"))
-    last = F.least(F.floor((F.col("__off") + F.col("__len") + F.col("__reach")) / F.col("__stride")).cast("long"), F.col("__last_cut"))
-    end = F.col("__off") + F.col("__len")
-    windows = (
+    """(item_kind, item_id, k, cut, level) from parts with offsets, tables and the item's total."""
+    off, end = F.col("__off"), F.col("__off") + F.col("__len")
+    first = F.greatest(F.lit(1), F.floor(off / F.col("__stride")).cast("long"))
+    last = F.least(F.floor((end + F.col("__reach")) / F.col("__stride")).cast("long"), F.col("__last_cut"))
+    low = F.greatest(F.col("k") * F.col("__stride") - F.col("__reach"), off)
+    high = F.least(F.col("k") * F.col("__stride"), end)
+    place = F.pow(F.lit(2), F.lit(48)).cast("long")
+    inside = F.array_max(F.transform(F.filter("__table", lambda x: (x % place + off > low) & (x % place + off <= high)), lambda x: F.struct(F.floor(x / place).cast("int").alias("level"), (x % place + off).alias("cut"))))
+    # the part's own end is the strongest boundary; a window that no range's entry falls into is cut hard
+    found = F.when(end <= F.col("k") * F.col("__stride"), F.struct(F.lit(5).alias("level"), end.alias("cut"))).otherwise(inside)
+    return (
         parts.where(F.col("__len") > 0)
         .where(first <= last)
         .withColumn("k", F.explode(F.sequence(first, last)))
-        .withColumn("__high", F.least(F.col("k") * F.col("__stride"), end) - F.col("__off"))
-        .withColumn("__low", F.greatest(F.col("k") * F.col("__stride") - F.col("__reach") - F.col("__off"), F.lit(0)))
-        .where("__low < __high")
-        .withColumn("__bytes", F.octet_length("text"))
-        .withColumn("__from", F.greatest(F.col("__low") - HALO, F.lit(0)))
-        .withColumn("__window", F.substring(F.col("text").cast("binary"), (F.col("__from") + 1).cast("int"), (F.col("__high") + HALO - F.col("__from")).cast("int")))
-        .select("item_kind", "item_id", "k", "__off", "__from", "__low", "__high", "__bytes", "__len", "__window")
+        .where(low < high)
+        .select("item_kind", "item_id", "k", found.alias("b"))
+        .where("b is not null")
+        .groupBy("item_kind", "item_id", "k")
+        .agg(F.max("b").alias("b"))
+        .select("item_kind", "item_id", "k", F.col("b.cut").alias("cut"), F.col("b.level").alias("level"))
     )
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            levels, cuts = [], []
-            for off, at, low, high, size, length, w in zip(b["__off"], b["__from"], b["__low"], b["__high"], b["__bytes"], b["__len"], b["__window"], strict=True):
-                if high >= size:  # the part ends inside the window: the strongest boundary, its padded end
-                    level, cut = (5, length) if high >= length else best_boundary(bytes(w), low - at, size - at)
-                    cut = cut if level == 5 else cut + at
-                else:
-                    level, cut = best_boundary(bytes(w), low - at, high - at)
-                    cut += at
-                levels.append(level)
-                cuts.append(off + cut)
-            yield pd.DataFrame({"item_kind": b["item_kind"], "item_id": b["item_id"], "k": b["k"], "level": levels, "cut": cuts})
-
-    found = windows.mapInPandas(search, "item_kind string, item_id string, k long, level int, cut long")
-    return found.groupBy("item_kind", "item_id", "k").agg(F.max(F.struct("level", "cut")).alias("b")).select("item_kind", "item_id", "k", F.col("b.cut").alias("cut"), F.col("b.level").alias("level"))
-
-
-def prepared(parts: DataFrame, size_limits: DataFrame) -> DataFrame:
-    """Oversized items' parts with offsets and the measures of their cuts."""
+
+def prepared(items: DataFrame, size_limits: DataFrame) -> DataFrame:
+    """The oversized items' parts with offsets and the measures of their cuts. Totals are summed on the map side first."""
     item = ["item_kind", "item_id"]
-    sized = oversized(parts, size_limits)
-    totals = (
-        sized.groupBy(*item, "max_tokens", "overlap_tokens").agg(F.sum("__len").alias("__total")).where(F.col("__total") > F.col("max_tokens") * 4).drop("max_tokens", "overlap_tokens")
-    )
-    big = offsets(sized.join(totals, item), item, "part_no", "__len")
-    # the overlap may be half of the limit at most, else pieces would hardly advance
-    room = F.greatest((F.col("max_tokens") - 2) * 4, F.lit(8))
-    over = F.least(F.col("overlap_tokens") * 4, F.floor(room / 8) * 4)
-    big = big.withColumn("__over", over.cast("long")).withColumn("__step", (room - over).cast("long"))
-    big = big.withColumn("__reach", F.greatest(F.floor(F.col("__step") / 4), F.lit(4)).cast("long")).withColumn("__stride", F.col("__step") - F.col("__reach"))
+    measures = F.broadcast(_measures(size_limits))  # one row per kind
+    totals = items.groupBy(*item).agg(F.sum("__len").alias("__total")).join(measures, "item_kind").where(F.col("__total") > F.col("max_tokens") * 4)
     # cuts are needed until what is left after one fits a piece
-    return big.withColumn("__last_cut", F.greatest(F.lit(1), F.ceil((F.col("__total") - F.col("__step") + F.col("__reach")) / F.col("__stride"))).cast("long"))
+    totals = totals.withColumn("__last_cut", F.greatest(F.lit(1), F.ceil((F.col("__total") - F.col("__step") + F.col("__reach")) / F.col("__stride"))).cast("long"))
+    return offsets(items.join(totals, item), item, "part_no", "__len")
 
 
-def split(parts: DataFrame, size_limits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pieces, parts with offsets). Pieces: item_kind, item_id, piece_no, start_byte, end_byte, level.
+def split(items: DataFrame, size_limits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pieces, the parts they are cut from). Pieces: item_kind, item_id, piece_no, start_byte, end_byte, level.
 
-    Offsets are padded bytes of the item; ``level`` tells the boundary at the piece's end (5 part, 4 paragraph, 3 line,
-    2 sentence, 1 word, 0 character, null at the item's end). Consecutive pieces share ``overlap_tokens``. Items within
-    their limit, null and empty texts aren't listed. Repeated parts are an error of the caller: part_no orders them.
+    `items` are parts with boundary tables. Offsets are padded bytes of the item; ``level`` tells the boundary at the
+    piece's end (5 part, 4 paragraph, 3 line, 2 sentence, 1 word, 0 character, null at the item's end). Consecutive pieces
+    share ``overlap_tokens``. Items within their limit, null and empty texts aren't listed. part_no orders the parts and
+    is unique within an item.
     """
     item = ["item_kind", "item_id"]
-    big = prepared(parts, size_limits)
+    big = checkpointed(prepared(items, size_limits))
     cuts = _cut_points(big)
     ends = big.groupBy(*item).agg(F.max("__total").alias("__total"), F.max("__over").alias("__over"), F.max("__last_cut").alias("__last_cut"))
     previous = cuts.select(*item, (F.col("k") + 1).alias("k"), F.col("cut").alias("__prev"))
@@ -179,22 +177,24 @@ def split(parts: DataFrame, size_limits: DataFrame) -> tuple[DataFrame, DataFram
     return pieces, big
 
 
-def split_texts(parts: DataFrame, size_limits: DataFrame) -> DataFrame:
+def split_texts(items: DataFrame, texts: DataFrame, size_limits: DataFrame) -> DataFrame:
     """The pieces with their ``text`` (fragments of several parts joined by nothing) and ``n_tokens``.
 
-    Each part is offered only to the pieces that can cover it (by stride), so this is an equi-join; fragments of a piece
-    are gathered per piece, whose size is bounded by the limit. A fragment begins and ends on whole characters.
+    `texts` is (part_no, text). Each part is offered only to the pieces that can cover it (by stride), so this is an
+    equi-join; a piece's fragments are gathered by piece, whose size is bounded by the limit. A fragment begins and ends
+    on whole characters.
     """
     item = ["item_kind", "item_id"]
-    pieces, big = split(parts, size_limits)
+    pieces, big = split(items, size_limits)
     lo = F.greatest(F.floor(F.col("__off") / F.col("__stride")), F.lit(0))
     hi = F.floor((F.col("__off") + F.col("__len") + F.col("__reach") + F.col("__over")) / F.col("__stride")) + 1
     offered = (
         big.where("__len > 0")
         .withColumn("piece_no", F.explode(F.sequence(lo.cast("int"), F.least(hi.cast("int"), F.col("__last_cut").cast("int")))))
-        .select(*item, "piece_no", "part_no", "__off", "__len", F.col("text").cast("binary").alias("__b"))
+        .select(*item, "piece_no", "part_no", "__off", "__len")
     )
     hit = offered.join(pieces, [*item, "piece_no"]).where((F.col("__off") < F.col("end_byte")) & (F.col("__off") + F.col("__len") > F.col("start_byte")))
+    hit = hit.join(texts.select("part_no", F.col("text").cast("binary").alias("__b")), "part_no")
     a = F.greatest(F.col("start_byte") - F.col("__off"), F.lit(0)).cast("int")
     n = (F.least(F.col("end_byte") - F.col("__off"), F.col("__len")) - F.greatest(F.col("start_byte") - F.col("__off"), F.lit(0))).cast("int")
     # a start inside a character moves on to the next one: up to three continuation bytes are skipped
@@ -212,6 +212,8 @@ def split_texts(parts: DataFrame, size_limits: DataFrame) -> DataFrame:
     )
 
 
-def all_parts(messages: DataFrame, chunk_meta: DataFrame) -> DataFrame:
-    """Messages and chunks together."""
-    return message_parts(messages).unionByName(chunk_parts(messages, chunk_meta))
+def all_items(messages: DataFrame, chunk_meta: DataFrame, size_limits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the parts of messages and chunks with boundary tables, their texts). The tables are made once and kept."""
+    texts = messages.select(F.col("seq").alias("part_no"), "text")
+    tables = checkpointed(boundary_tables(texts, range_size(size_limits)))
+    return message_items(tables).unionByName(chunk_items(tables, chunk_meta)), texts

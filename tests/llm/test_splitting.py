@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import random
 
-from mnemoweave.llm.splitting import best_boundary, message_parts, split_texts
+from mnemoweave.llm.splitting import best_boundary, boundary_tables, message_items, range_size, split_texts
 
 LIMITS = "item_kind string, max_tokens int, overlap_tokens int"
 
 
+def pieces_of(messages, limits):
+    texts = messages.selectExpr("seq as part_no", "text")
+    return split_texts(message_items(boundary_tables(texts, range_size(limits))), texts, limits)
+
+
 def check(rows: list, texts: dict[str, str], limit: int, overlap: int) -> None:
     got: dict[str, list] = {}
     for r in sorted(rows, key=lambda r: (r["item_id"], r["piece_no"])):
@@ -38,16 +43,18 @@ def test_messages(spark):
     rows = [(int(k), t, "x") for k, t in texts.items()] + [(107, None, "x")]
     m = spark.createDataFrame(rows, "seq long, text string, item_id string")
     limits = spark.createDataFrame([("message", 100, 10)], LIMITS)
-    check(split_texts(message_parts(m), limits).collect(), texts, 100, 10)
-    assert split_texts(message_parts(m.limit(0)), limits).count() == 0
-    assert split_texts(message_parts(m), limits.limit(0)).count() == 0
+    check(pieces_of(m, limits).collect(), texts, 100, 10)
+    assert pieces_of(m.limit(0), limits).count() == 0
+    assert pieces_of(m, limits.limit(0)).count() == 0
 
 
 def test_many_parts(spark):
     rng = random.Random(6)
     parts = [("chunk", f"c{i % 3}", i, "".join(rng.choice("ab .\n é") for _ in range(rng.randrange(0, 900)))) for i in range(200)]
     df = spark.createDataFrame(parts, "item_kind string, item_id string, part_no long, text string")
-    out = split_texts(df, spark.createDataFrame([("chunk", 300, 20)], LIMITS)).collect()
+    limits = spark.createDataFrame([("chunk", 300, 20)], LIMITS)
+    items = boundary_tables(df, range_size(limits)).join(df.drop("text"), "part_no")
+    out = split_texts(items, df, limits).collect()
     for c in ("c0", "c1", "c2"):
         whole = "".join(t for _, i, _, t in parts if i == c)
         at = 0
@@ -64,12 +71,13 @@ def test_best_boundary():
     assert best_boundary(b"one two. three four", 0, 17) == (2, 9)
     assert best_boundary(b"onetwothree", 2, 7) == (0, 7)
     assert best_boundary("ééé".encode(), 0, 3) == (0, 2)
+    assert best_boundary(b"ab\n\ncd", 3, 6) == (4, 4)  # across the edge
 
 
 def test_found_at_natural_places(spark):
     m = spark.read.parquet("/root/testdata/sf0.01/messages.parquet")
-    out = split_texts(message_parts(m), spark.read.parquet("/root/testdata/sf0.01/size_limits.parquet")).collect()
+    out = pieces_of(m, spark.read.parquet("/root/testdata/sf0.01/size_limits.parquet")).collect()
     texts = {str(r["seq"]): r["text"] for r in m.collect()}
     check(out, texts, 1000, 80)
     # inside a word only where there is nothing but one
-    assert not any(c.isspace() for r in out if r["level"] == 0 for c in r["text"][-100:])
+    assert not any(c in " \t\n" for r in out if r["level"] == 0 for c in r["text"][-100:])
