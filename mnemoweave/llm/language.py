@@ -184,7 +184,11 @@ def judge(model: Model, text: str | None) -> list[tuple[int, int, str, float]]:
     units = []
     for a, b in sentences(text):
         ws = tokens(text[a:b])
-        if len(ws) >= (6 if _CJK.search(text, a, b) else 3):
+        asian = _CJK.search(text, a, b)
+        known = sum(w in model.words for w in ws)
+        digits = sum(c.isdigit() for c in text[a:b])
+        # figures and codes that end like sentences aren't any
+        if len(ws) >= (6 if asian else 3) and (asian or known >= max(2, len(ws) // 4)) and sum(map(len, ws)) >= 2 * digits:
             units.append((a, b, model.score(ws), len(ws)))
     if not units:
         return []
