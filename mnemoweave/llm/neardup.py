@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from mnemoweave.session import checkpointed
 
 WORD = re.compile(r"[^\W_]+")
-#: Width of the table of estimated key counts: the only thing about keys that reaches the driver (8 MB).
-SKETCH = 1 << 20
+#: Width of the table of estimated key counts: the only thing about keys that reaches the driver (2 MB).
+SKETCH = 1 << 18
 #: Partitions per word of a class' mean size.
 DENSITY = 0.5
 #: Rows from which correlated words are learnt; it changes the cost only, never the result.
