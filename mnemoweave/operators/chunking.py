@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mnemoweave.functions import text as X
-from mnemoweave.operators.messages import conversation_runs, with_defaults
+from mnemoweave.operators.messages import run_numbers, with_defaults
+from mnemoweave.session import checkpointed
 
 #: Tokens of a block, in budgets. A block's rows are narrow: two numbers and a place.
 BLOCK_BUDGETS = 256
@@ -56,7 +57,7 @@ def beginnings(rows: DataFrame, budget: int, x: str = "x", v: str = "v", order:
         return pd.DataFrame({"b": key[0], "first": xs[0], "fresh": xs[last[0]], "out": np.unique(xs[last])})
 
     # how many blocks there are is total / width; each has as many rows here as there are different last beginnings
-    out = cols.groupBy("b").applyInPandas(ends, "b long, first long, fresh long, out long")
+    out = checkpointed(cols.groupBy("b").applyInPandas(ends, "b long, first long, fresh long, out long"))
     blocks = out.groupBy("b").agg(F.first("first").alias("first"), F.first("fresh").alias("fresh"), F.collect_set("out").alias("out"))
     follow = blocks.select("b", F.lag("out").over(Window.orderBy("b")).alias("entries"))
 
@@ -107,23 +108,18 @@ def chunk_assignment(messages: DataFrame, budget: int = BUDGET, tokens: Column |
     """
     if budget <= 0:
         raise ValueError("the budget must be positive")
-    runs = conversation_runs(messages)
-    rows = with_defaults(messages.withColumn("__tokens", tokens if tokens is not None else X.token_count(F.col("text")))).select("seq", "conv_id", F.col("__tokens").alias("tokens"))
-    # each row's run: the runs are stretches of seq, so the run's first row is spread by blocks of seq
-    block = 65_536
-    spread = runs.withColumn("__b", F.explode(F.sequence(F.floor(F.col("first_seq") / block), F.floor(F.col("last_seq") / block)))).select("__b", "run_no", "first_seq", "last_seq")
-    rows = rows.withColumn("__b", F.floor(F.col("seq") / block)).join(spread, "__b").where("seq between first_seq and last_seq").drop("__b", "last_seq")
-    total = rows.groupBy("run_no").agg(F.sum("tokens").alias("run_total"), F.max("seq").alias("run_last"))
-    rows = running_sum(rows, "seq", "tokens", "before").join(total, "run_no")
+    named = with_defaults(messages.withColumn("__tokens", tokens if tokens is not None else X.token_count(F.col("text")))).select("seq", "conv_id", F.col("__tokens").alias("tokens"))
+    # narrow rows (four numbers) that several passes read: kept once
+    rows = checkpointed(running_sum(run_numbers(named), "seq", "tokens", "before"))
+    total = rows.groupBy("run_no").agg(F.sum("tokens").alias("run_total"), F.min("before").alias("run_before"))
     # pieces: a gap of more than a budget before each run makes every run begin one
-    piece = beginnings(rows.select("seq", "run_no", "tokens", "before", "run_total", "first_seq", (F.col("before") + F.col("run_no") * (budget + 1)).alias("x")).withColumn("v", F.col("x")), budget)
-    start = rows.where("seq = first_seq").select("run_no", F.col("before").alias("run_before"))
-    piece = piece.drop("x", "v").join(start, "run_no")
+    x = F.col("before") + F.col("run_no") * (budget + 1)
+    piece = beginnings(rows.select("seq", x.alias("x"), x.alias("v")), budget).select("seq", "begins")
     left = F.col("run_before") + F.col("run_total") - F.col("before")  # tokens from here to the run's end
     fits = F.col("begins") & (left <= budget)
-    ends = piece.withColumn("x", F.col("before")).withColumn("v", F.when(fits, F.col("before") + left).otherwise(F.col("before") + F.col("tokens"))).drop("begins")
-    marked = beginnings(ends.select("seq", "x", "v"), budget)
-    counted = running_sum(marked.withColumn("__one", F.col("begins").cast("long")), "seq", "__one", "__n").select("seq", (F.col("__n") + F.col("__one")).alias("chunk_no"))
+    ends = rows.join(piece, "seq").join(total, "run_no").select("seq", F.col("before").alias("x"), F.when(fits, F.col("before") + left).otherwise(F.col("before") + F.col("tokens")).alias("v"))
+    marked = beginnings(checkpointed(ends), budget).select("seq", F.col("begins").cast("long").alias("one"))
+    counted = running_sum(marked, "seq", "one", "n").select("seq", (F.col("n") + F.col("one")).alias("chunk_no"))
     return rows.select("seq", "conv_id", "tokens").join(counted, "seq")
 
 

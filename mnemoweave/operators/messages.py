@@ -132,19 +132,24 @@ def view_stats(messages: DataFrame, view: DataFrame) -> DataFrame:
     return totals.unionByName(rules)
 
 
-def conversation_runs(messages: DataFrame) -> DataFrame:
-    """(run_no, conv_id, first_seq, last_seq, messages): stretches of one conversation in a row.
+def run_numbers(rows: DataFrame, block: int = 65_536) -> DataFrame:
+    """rows (seq, conv_id, ...) with ``run_no``: stretches of one conversation in a row, numbered from 1.
 
     The row before is found by two steps, so no task orders the whole table: inside blocks of seq by ``lag``, between
     blocks by the last row of the block before (one row per block).
     """
-    block = 65_536
-    rows = with_defaults(messages.select("seq", "conv_id", "message_id", "role", "title", "text")).select("seq", "conv_id", F.floor(F.col("seq") / block).alias("b"))
-    inside = Window.partitionBy("b").orderBy("seq")
-    edges = rows.groupBy("b").agg(F.max(F.struct("seq", "conv_id")).alias("e"))
-    before = edges.select("b", F.lag("e.conv_id").over(Window.orderBy("b")).alias("carried"))  # a row per block
-    marked = rows.join(F.broadcast(before), "b").withColumn("prev", F.coalesce(F.lag("conv_id").over(inside), F.col("carried"))).withColumn("new", F.when(F.col("prev").isNull() | (F.col("prev") != F.col("conv_id")), 1).otherwise(0))
-    counts = marked.groupBy("b").agg(F.sum("new").alias("n"))
-    base = counts.select("b", F.coalesce(F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    numbered = marked.join(F.broadcast(base), "b").withColumn("run_no", F.col("base") + F.sum("new").over(inside))
-    return numbered.groupBy("run_no", "conv_id").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("messages"))
+    b = rows.withColumn("__b", F.floor(F.col("seq") / block))
+    inside = Window.partitionBy("__b").orderBy("seq")
+    edges = b.groupBy("__b").agg(F.max(F.struct("seq", "conv_id")).alias("e"))
+    before = edges.select("__b", F.lag("e.conv_id").over(Window.orderBy("__b")).alias("__carried"))  # a row per block
+    prev = F.coalesce(F.lag("conv_id").over(inside), F.col("__carried"))
+    marked = b.join(before, "__b").withColumn("__prev", prev).withColumn("__new", F.when(F.col("__prev").isNull() | (F.col("__prev") != F.col("conv_id")), 1).otherwise(0))
+    counts = marked.groupBy("__b").agg(F.sum("__new").alias("n"))
+    base = counts.select("__b", F.coalesce(F.sum("n").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
+    return marked.join(base, "__b").withColumn("run_no", F.col("__base") + F.sum("__new").over(inside)).select(*rows.columns, "run_no")
+
+
+def conversation_runs(messages: DataFrame) -> DataFrame:
+    """(run_no, conv_id, first_seq, last_seq, messages): stretches of one conversation in a row."""
+    rows = with_defaults(messages.select("seq", "conv_id", "message_id", "role", "title", "text")).select("seq", "conv_id")
+    return run_numbers(rows).groupBy("run_no", "conv_id").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("messages"))
