@@ -39,7 +39,7 @@ def normalized(c: Column) -> Column:
 @F.pandas_udf(StringType())
 def casefolded(s: pd.Series) -> pd.Series:
     """Full Unicode case folding, in Python: for texts beyond Latin, Greek and Cyrillic."""
-    return s.str.casefold()
+    return pd.Series([x.casefold() if isinstance(x, str) else None for x in s], dtype=object)
 
 
 def normalized_full(c: Column) -> Column:
@@ -76,7 +76,7 @@ def format_ts(c: Column) -> Column:
 @F.pandas_udf(StringType())
 def format_confidence(v: pd.Series) -> pd.Series:
     """Three digits, rounding the binary value half to even: no JVM function does that."""
-    return v.map(lambda x: f"{x:.3f}", na_action="ignore")
+    return pd.Series([None if pd.isna(x) else f"{x:.3f}" for x in v], dtype=object)
 
 
 def token_count(c: Column) -> Column:

@@ -116,11 +116,11 @@ def canonical_json(raw: pd.Series) -> pd.Series:
 
     def one(x: str | None) -> str | None:
         try:
-            return None if x is None else json.dumps(json.loads(x), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+            return None if not isinstance(x, str) else json.dumps(json.loads(x), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
         except ValueError:
             return None
 
-    return raw.map(one)
+    return pd.Series([one(x) for x in raw], dtype=object)
 
 
 CLAIM_FIELDS = ("category", "fact", "stability", "status", "confidence", "time", "evidence", "derived_from", "value", "tags", "notes")

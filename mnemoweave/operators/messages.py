@@ -81,7 +81,7 @@ def flatten(conversations: DataFrame, roles: tuple[str, ...] = ("user", "assista
     out = nodes.select(
         "conv_id", "title", ts_of(F.col("m.create_time"), F.col("m.update_time")).alias("ts"), role_of(F.col("m.author.role"), F.col("m.author.name")).alias("role"),
         F.coalesce(F.nullif(F.col("m.id"), F.lit("")), F.col("node")).alias("message_id"), text_of(F.col("m.content")).alias("text"), "pos",
-        F.coalesce(F.get_json_object("m.metadata", "$.is_visually_hidden_from_conversation") == "true", F.lit(False)).alias("hidden"),
+        F.coalesce(F.col("m.metadata").rlike(r'"is_visually_hidden_from_conversation"\s*:\s*true\b'), F.lit(False)).alias("hidden"),
     )
     if not include_hidden:
         out = out.where("not hidden")
