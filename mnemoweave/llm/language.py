@@ -235,8 +235,8 @@ def segments(documents: DataFrame, model: Model, codes: dict[str, str]) -> DataF
         for b in batches:
             rows = []
             for d, t, label in zip(b["doc_id"], b["text"], b["lang"], strict=True):
-                code = label_code(label, codes)
-                found = judge(m, t)
+                code = label_code(label if isinstance(label, str) else None, codes)
+                found = judge(m, t if isinstance(t, str) else None)
                 rows += [(d, code, i, a, e, x, p) for i, (a, e, x, p) in enumerate(found)] or [(d, code, None, None, None, None, 0.0)]
             out = pd.DataFrame(rows, columns=["doc_id", "label_lang", "segment_no", "start_char", "end_char", "lang", "confidence"])
             yield out.astype({c: "Int32" for c in ("segment_no", "start_char", "end_char")})

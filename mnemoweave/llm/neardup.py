@@ -163,8 +163,8 @@ def records(df: DataFrame, key: str, group: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            g = [None if x is None else x.strip().lower().split(".")[0].strip() for x in b["g"]]
-            yield pd.DataFrame({"id": b["id"], "grp": g, "words": [words_of(x) for x in b["t"]]})
+            g = [None if not isinstance(x, str) else x.strip().lower().split(".")[0].strip() for x in b["g"]]
+            yield pd.DataFrame({"id": b["id"], "grp": g, "words": [words_of(x if isinstance(x, str) else None) for x in b["t"]]})
 
     return df.select(F.col(key).alias("id"), F.col(group).alias("g"), F.col(text).alias("t")).mapInPandas(run, f"id {kind}, grp string, words array<string>")
 
