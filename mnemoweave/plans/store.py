@@ -12,7 +12,7 @@ from mnemoweave.operators import report as R
 from mnemoweave.operators import store as S
 from mnemoweave.operators.messages import with_defaults
 from mnemoweave.plans.dialect import STORE, is_text, normalized, strip
-from mnemoweave.session import table
+from mnemoweave.session import spread, table
 
 #: Budget of the queries' own packing: the largest message must fit.
 BUDGET = 12_000
@@ -102,7 +102,7 @@ def jsonl_scan_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.issues(_claims(spark, sf_dir))
+    return K.issues(spread(_claims(spark, sf_dir)))
 
 
 def _issues_of(*codes: str):
@@ -121,7 +121,7 @@ def validate_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _claims(spark, sf_dir)
+    c = spread(_claims(spark, sf_dir))
     return K.summary(c, K.issues(c))
 
 

@@ -9,13 +9,17 @@ from mnemoweave.functions import patterns as P
 from mnemoweave.functions import text as X
 from mnemoweave.operators import messages as M
 from mnemoweave.plans.dialect import normalized, single_line
-from mnemoweave.session import table
+from mnemoweave.session import spread, table
 
 
 def _m(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "messages")
 
 
+def _mt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(_m(spark, sf_dir).select("seq", "text"))
+
+
 # -- conversation trees made of the messages: 50 in a row each, every fifth one a side branch -------------------------
 
 
@@ -126,15 +130,15 @@ def limit_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.redact(_m(spark, sf_dir).select("seq", "text")).select("seq", "text")
+    return X.redact(_mt(spark, sf_dir)).select("seq", "text")
 
 
 def redact_pii_off(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.redact(_m(spark, sf_dir).select("seq", "text"), pii=False).select("seq", "text")
+    return X.redact(_mt(spark, sf_dir), pii=False).select("seq", "text")
 
 
 def redaction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = X.redact(_m(spark, sf_dir).select("seq", "text"), pii=False)
+    r = X.redact(_mt(spark, sf_dir), pii=False)
     return r.select(F.explode("redactions").alias("rule", "n")).groupBy("rule").agg(F.sum("n").alias("n"))
 
 
@@ -160,7 +164,7 @@ _R, _COUNTS = _redacted_sql()
 
 
 def elide_code_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.elide_code(_m(spark, sf_dir).select("seq", "text"), 8).where("elided > 0")
+    return X.elide_code(_mt(spark, sf_dir), 8).where("elided > 0")
 
 
 def truncate_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,28 +172,28 @@ def truncate_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.build_view(_m(spark, sf_dir).select("seq", "text")).select("seq", F.length("text").alias("n"), "elided", "cut", F.size("redactions").alias("rules"))
+    return M.build_view(_mt(spark, sf_dir)).select("seq", F.length("text").alias("n"), "elided", "cut", F.size("redactions").alias("rules"))
 
 
 def view_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = _m(spark, sf_dir).select("seq", "text")
+    m = _mt(spark, sf_dir)
     return M.view_stats(m, M.build_view(m))
 
 
 def scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _m(spark, sf_dir).select("seq", F.explode(F.array_distinct(X.secret_hits(F.col("text")))).alias("hit"))
+    return _mt(spark, sf_dir).select("seq", F.explode(F.array_distinct(X.secret_hits(F.col("text")))).alias("hit"))
 
 
 def scan_kv_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _m(spark, sf_dir).select("seq", F.size(F.filter(X.secret_hits(F.col("text")), lambda h: h == "secret_kv_high_entropy")).alias("n")).where("n > 0")
+    return _mt(spark, sf_dir).select("seq", F.size(F.filter(X.secret_hits(F.col("text")), lambda h: h == "secret_kv_high_entropy")).alias("n")).where("n > 0")
 
 
 def scan_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _m(spark, sf_dir).where(F.col("text").rlike(P.EMAIL)).select("seq")
+    return _mt(spark, sf_dir).where(F.col("text").rlike(P.EMAIL)).select("seq")
 
 
 def scan_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _m(spark, sf_dir).where(F.array_contains(X.pii_hits(F.col("text")), "phone_like")).select("seq")
+    return _mt(spark, sf_dir).where(F.array_contains(X.pii_hits(F.col("text")), "phone_like")).select("seq")
 
 
 def high_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,11 +28,33 @@ def session(app: str = "mnemoweave", cores: int | str = 8, **conf: str) -> Spark
     return b.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Gives the package to the executors' Python, once per context, through the driver's own file service."""
+    sc = spark.sparkContext
+    if getattr(sc, "_mnemoweave_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(), "mnemoweave.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f"mnemoweave/{f.relative_to(here)}")
+    sc.addPyFile(target)
+    sc._mnemoweave_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the project's tables."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its files give fewer splits than there are: one small file is one split, however much work
+    its rows need. Larger inputs are left as they are, so nothing is shuffled there."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """df with its lineage cut through reliable files in ``spark.checkpoint.dir``.
 
