@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mnemoweave.llm.language import document_languages, fitted, segments, wrong_labels
-from mnemoweave.session import table
+from mnemoweave.session import spread, table
 
 
 def p8_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return segments(docs, *fitted(docs, table(spark, sf_dir, "languages")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return segments(spread(docs), *fitted(docs, table(spark, sf_dir, "languages")))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

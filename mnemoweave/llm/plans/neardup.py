@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mnemoweave.llm.neardup import all_pairs, classes_with_links, near_duplicates
-from mnemoweave.session import table
+from mnemoweave.session import spread, table
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = all_pairs(*near_duplicates(table(spark, sf_dir, "facts")))
+    found = all_pairs(*near_duplicates(spread(table(spark, sf_dir, "facts").select("fact_id", "category", "fact_text"))))
     return found.select(F.col("id_a").alias("fact_id_a"), F.col("id_b").alias("fact_id_b"))
 
 
 def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = classes_with_links(*near_duplicates(table(spark, sf_dir, "facts")))
+    found = classes_with_links(*near_duplicates(spread(table(spark, sf_dir, "facts").select("fact_id", "category", "fact_text"))))
     return found.select(F.col("id").alias("fact_id"), F.col("rep").alias("class_id"), "links")
 
 

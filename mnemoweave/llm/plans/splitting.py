@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mnemoweave.llm.splitting import all_items, split, split_texts
-from mnemoweave.session import table
+from mnemoweave.session import spread, table
 
 
 def _items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return all_items(table(spark, sf_dir, "messages"), table(spark, sf_dir, "chunk_meta"), table(spark, sf_dir, "size_limits"))
+    return all_items(spread(table(spark, sf_dir, "messages").select("seq", "text")), table(spark, sf_dir, "chunk_meta"), table(spark, sf_dir, "size_limits"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:

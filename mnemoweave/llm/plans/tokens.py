@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from mnemoweave.llm.bpe import encoded_documents
 from mnemoweave.llm.packing import packed_documents
-from mnemoweave.session import table
+from mnemoweave.session import spread, table
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoded_documents(table(spark, sf_dir, "documents"))
+    return encoded_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "size_limits"))
+    return packed_documents(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), table(spark, sf_dir, "size_limits"))
 
 
 def p7_container_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
