@@ -175,7 +175,9 @@ def similar_sets(sets: DataFrame, t: float = 0.6) -> DataFrame:
 
     `sets` is read several times: cut its lineage before.
     """
-    sample = [frozenset(r[0]) for r in sets.orderBy(F.xxhash64("rep")).limit(SAMPLE).select("words").collect()]
+    share = min(1.0, 1.2 * SAMPLE / max(1, sets.count()))
+    some = sets.where(F.pmod(F.xxhash64("rep"), F.lit(1_000_000)) < int(share * 1_000_000)).orderBy(F.xxhash64("rep")).limit(SAMPLE)
+    sample = [frozenset(r[0]) for r in some.select("words").collect()]
     groups = correlated_groups(sample)
     key_type = sets.schema["rep"].dataType.simpleString()
 
