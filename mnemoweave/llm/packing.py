@@ -101,7 +101,7 @@ def pieces(documents: DataFrame, capacity: int, path: str | None = None) -> Data
     return documents.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def pack(items: DataFrame, capacity: int, size: str = "n_tokens", key: tuple[str, ...] = ("doc_id", "piece_no"), shards: int = 256) -> DataFrame:
+def pack(items: DataFrame, capacity: int, size: str = "n_tokens", key: tuple[str, ...] = ("doc_id", "piece_no"), shards: int = 64) -> DataFrame:
     """items with `container_id`; the sizes in one container add up to `capacity` at most.
 
     Items of size 0 (or null) fit anywhere and are spread evenly over the containers; if there are no others, they are
@@ -114,13 +114,10 @@ def pack(items: DataFrame, capacity: int, size: str = "n_tokens", key: tuple[str
     spark = items.sparkSession
     n = F.coalesce(F.col(size), F.lit(0)).cast("int")
     placed = items.withColumn("__n", n).withColumn("__shard", F.pmod(F.xxhash64(*key), F.lit(shards)).cast("int"))
-    grouped = placed.groupBy("__n", "__shard").count()
-    table = {(r[0], r[1]): r[2] for r in grouped.collect()}  # at most (capacity + 1) x shards rows
-    histogram: dict[int, int] = {}
-    start: list[tuple[int, int, int]] = []
-    for (s, shard), c in sorted(table.items()):
-        start.append((s, shard, histogram.get(s, 0)))
-        histogram[s] = histogram.get(s, 0) + c
+    # at most (capacity + 1) x shards rows, whatever the input
+    table = placed.groupBy("__n", "__shard").count().toPandas().sort_values(["__n", "__shard"])
+    table["__before"] = table.groupby("__n")["count"].cumsum() - table["count"]
+    histogram = {int(s): int(c) for s, c in table.groupby("__n")["count"].sum().items()}
     zero = histogram.pop(0, 0)
     patterns = minimum_bin_slack(histogram, capacity)
     bins = sum(t for t, _ in patterns)
@@ -134,7 +131,7 @@ def pack(items: DataFrame, capacity: int, size: str = "n_tokens", key: tuple[str
         first += times
     if zero:
         laid.append((0, 0, zero, max(1, -(-zero // max(1, bins))), 0))
-    start_df = spark.createDataFrame(start, "__n int, __shard int, __before long")
+    start_df = spark.createDataFrame(table[["__n", "__shard", "__before"]].astype("int64"), "__n int, __shard int, __before long")
     segments = spark.createDataFrame(laid, "__n int, __from long, __to long, __each int, __first long").groupBy("__n").agg(F.sort_array(F.collect_list(F.struct("__from", "__to", "__each", "__first"))).alias("__segments"))
     rank = F.row_number().over(Window.partitionBy("__n", "__shard").orderBy(*key)) - 1
     ranked = placed.withColumn("__r", rank).join(F.broadcast(start_df), ["__n", "__shard"]).withColumn("__r", F.col("__r") + F.col("__before"))
