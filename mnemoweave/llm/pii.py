@@ -2,8 +2,8 @@
 
 Generators propose overlapping spans of five types. Each span is described by its format and its surroundings; boosted
 trees, fitted on synthetic labelled sentences, give it a probability; spans above their type's calibrated threshold are
-taken, the most probable first, and no two overlap. Parts of names beyond those given are learnt from a bounded sample of
-the texts themselves (``FIT_ROWS``): a capitalised word that stands beside known parts as a name does.
+taken, the most probable first, and no two overlap. Parts of names beyond those given are learnt from counts over all the
+texts themselves: a capitalised word that stands beside known parts as a name does.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mnemoweave.llm.boosting import BoostedTrees, best_threshold
+from mnemoweave.session import checkpointed
 
 TYPES = ("name", "email", "phone", "id_number", "address")
-#: Rows whose texts name parts are learnt from; nothing else is limited.
-FIT_ROWS = 30_000
+#: Entries that a task counts before it hands them on to be summed up.
+HELD = 200_000
 
 _A = "A-Za-z\u00c0-\u024f"  # letters of names
 _CAP = rf"(?:[OD]['’])?[A-ZÀ-ÖØ-Þ][{_A}]+(?:-[{_A}]{{2,}})*"
@@ -410,29 +411,67 @@ def labelled_sample(given: list[str], family: list[str], common: dict[str, int],
 # -- fit and use --------------------------------------------------------------------------------------------------
 
 
-def learn_lexicon(texts: list[str], given: set[str], family: set[str], rounds: int = 3) -> Lexicon:
-    """Known parts and those that stand beside them: capitalised, hardly ever in lower case, with several partners."""
-    common: Counter = Counter()
-    pairs: Counter = Counter()
-    for t in texts:
-        for m in re.finditer(rf"(?<![\w@.\-]){_W}(?![\w@])", t):
-            if m[0].islower():
-                common[m[0]] += 1
-        for m in PAIR.finditer(t):
-            ws = [w for w in WORD.findall(m[0]) if len(w) > 2]
-            if len(ws) == 2 and not m[0].isupper():
-                pairs[(ws[1], ws[0]) if "," in m[0] else (ws[0], ws[1])] += 1
-    lex = Lexicon({g.lower() for g in given}, {f.lower() for f in family}, {w: n for w, n in common.items() if n >= 3})
+_PLAIN = re.compile(rf"(?<![\w@.\-]){_W}(?![\w@])")
+
+
+def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(a, b, n): how often each word in lower case stands in all texts (b null), and each pair (given, family) of capitalised
+    ones. Counted beside the scan, so only the tables of words are shuffled."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: Counter = Counter()
+        pairs: Counter = Counter()
+
+        def counted() -> pd.DataFrame:
+            rows = [(w, None, n) for w, n in words.items() if w.islower()] + [(a, b, n) for (a, b), n in pairs.items()]
+            words.clear()
+            pairs.clear()
+            return pd.DataFrame(rows, columns=["a", "b", "n"])
+
+        for batch in batches:
+            for t in batch["t"]:
+                words.update(_PLAIN.findall(t))
+                for s in PAIR.findall(t):
+                    ws = [w for w in WORD.findall(s) if len(w) > 2]
+                    if len(ws) == 2 and not s.isupper():
+                        pairs[(ws[1], ws[0]) if "," in s else (ws[0], ws[1])] += 1
+                if len(words) + len(pairs) > HELD:
+                    yield counted()
+        yield counted()
+
+    return texts.where(F.length(text) > 0).select(F.col(text).alias("t")).mapInPandas(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def beside_known(pairs: DataFrame, lex: Lexicon) -> DataFrame:
+    """(side, part, partners, n): of the parts that aren't known, beside how many known ones they stand and how often."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for g, f, n in zip(batch["a"], batch["b"], batch["n"], strict=True):
+                if lex.is_family(f) and not lex.is_given(g):
+                    rows += [("given", p, lex.core(f), n) for p in lex.core(g).split("-")]
+                if lex.is_given(g) and not lex.is_family(f):
+                    rows.append(("family", lex.core(f), lex.core(g), n))
+            yield pd.DataFrame(rows, columns=["side", "part", "partner", "n"])
+
+    found = pairs.mapInPandas(run, "side string, part string, partner string, n long")
+    return found.groupBy("side", "part", "partner").agg(F.sum("n").alias("n")).groupBy("side", "part").agg(F.count("*").alias("partners"), F.sum("n").alias("n"))
+
+
+def learn_lexicon(counts: DataFrame, given: set[str], family: set[str], rounds: int = 3) -> Lexicon:
+    """Known parts and those that stand beside them: capitalised, seldom in lower case, with several partners.
+
+    Sightings in lower case are held against sightings beside known parts: both grow with the corpus, partners don't.
+    """
+    counts = checkpointed(counts)
+    words, pairs = counts.where("b is null").select(F.col("a").alias("part"), F.col("n").alias("low")), counts.where("b is not null")
+    lex = Lexicon({g.lower() for g in given}, {f.lower() for f in family}, {r[0]: r[1] for r in words.where("low >= 3").collect()})
     for _ in range(rounds):
-        as_given, as_family = defaultdict(set), defaultdict(set)
-        for g, f in pairs:
-            if lex.is_family(f) and not lex.is_given(g):
-                for p in lex.core(g).split("-"):
-                    as_given[p].add(lex.core(f))
-            if lex.is_given(g) and not lex.is_family(f):
-                as_family[lex.core(f)].add(lex.core(g))
-        ok = lambda w, partners: len(partners) >= 2 and len(w) > 2 and common.get(w, 0) <= 3 * len(partners)
-        new_g, new_f = {w for w, p in as_given.items() if ok(w, p)} - lex.given, {w for w, p in as_family.items() if ok(w, p)} - lex.family
+        good = beside_known(pairs, lex).where("partners >= 2 and length(part) > 2").join(words, "part", "left").where("coalesce(low, 0) <= 3 * n")
+        rows = good.select("side", "part").collect()  # only new parts
+        new_g, new_f = ({p for s, p in rows if s == side and p not in _TITLE} for side in ("given", "family"))
+        new_g, new_f = new_g - lex.given, new_f - lex.family
         # a word that stands in both places is no part of a name, but part of something else
         lex.given |= new_g - new_f
         lex.family |= new_f - new_g
@@ -472,12 +511,11 @@ class Detector:
         return out
 
 
-def fit(texts: list[str], given: set[str], family: set[str], sample: int = 8000) -> Detector:
-    """Lexicon from the texts, trees from the made-up sample; a third of it is held out for calibration and thresholds.
+def fit(lex: Lexicon, sample: int = 8000) -> Detector:
+    """Trees from the made-up sample; a third of it is held out for calibration and thresholds.
 
     A fifth of the names in the sample are unknown to the lexicon that describes them, so the trees don't lean on it alone.
     """
-    lex = learn_lexicon(texts, given, family)
     g, f = sorted(w.capitalize() for w in lex.given) or ["Ann"], sorted("-".join(p.capitalize() for p in w.split("-")) for w in lex.family) or ["Lee"]
     rows = labelled_sample(g, f, lex.common, sample)
     hidden = Lexicon({w for i, w in enumerate(sorted(lex.given)) if i % 12}, {w for i, w in enumerate(sorted(lex.family)) if i % 12}, lex.common)
@@ -490,14 +528,11 @@ def fit(texts: list[str], given: set[str], family: set[str], sample: int = 8000)
     return Detector(lex, trees, thresholds)
 
 
-def fitted(texts: DataFrame, name_parts: DataFrame, text: str = "text", rows: int = FIT_ROWS) -> Detector:
-    """A detector for a corpus. The sample is about `rows` distinct texts by their hash, so it doesn't depend on order or place."""
-    full = texts.where(F.length(text) > 0).select(text)
-    share = min(1.0, 1.1 * rows / max(1, texts.count()))
-    sample = full.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(share * 1_000_000)).distinct().orderBy(F.xxhash64(text), text).limit(rows)
+def fitted(texts: DataFrame, name_parts: DataFrame, text: str = "text") -> Detector:
+    """A detector for a corpus; its lexicon is learnt from all the texts."""
     parts = name_parts.where("name_part is not null").select("part_kind", "name_part").collect()
     given, family = ({r[1] for r in parts if r[0] == k} for k in ("given", "family"))
-    return fit([r[0] for r in sample.collect()], given, family)
+    return fit(learn_lexicon(word_counts(texts, text), given, family))
 
 
 def personal_spans(rows: DataFrame, detector: Detector) -> DataFrame:
@@ -505,7 +540,7 @@ def personal_spans(rows: DataFrame, detector: Detector) -> DataFrame:
 
     Null and empty texts have none; repeated rows are each reported.
     """
-    shared = rows.sparkSession.sparkContext.broadcast(detector)  # bounded by FIT_ROWS and the number of trees
+    shared = rows.sparkSession.sparkContext.broadcast(detector)  # words and parts of names, trees
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         d = shared.value

@@ -16,12 +16,13 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    detector = fitted(table(spark, sf_dir, "messages"), table(spark, sf_dir, "name_parts"))
-    return personal_spans(_rows(spark, sf_dir), detector).select("src", "row_id", "pii_type", "start_char")
+    rows = _rows(spark, sf_dir)
+    return personal_spans(rows, fitted(rows, table(spark, sf_dir, "name_parts"))).select("src", "row_id", "pii_type", "start_char")
 
 
 def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return redacted(_rows(spark, sf_dir), fitted(table(spark, sf_dir, "messages"), table(spark, sf_dir, "name_parts")))
+    rows = _rows(spark, sf_dir)
+    return redacted(rows, fitted(rows, table(spark, sf_dir, "name_parts")))
 
 
 QUERIES = {"p2_found": p2_found, "p2_redacted": p2_redacted}

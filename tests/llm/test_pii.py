@@ -82,3 +82,25 @@ def test_trees():
     m = BoostedTrees(40, 3).fit(x[:1500], y[:1500]).calibrate(x[1500:], y[1500:])
     assert ((m.probability(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
     assert best_threshold(np.array([0.9, 0.8, 0.2]), np.array([1, 1, 0])) == pytest.approx(0.5)
+
+
+def test_lexicon_of_all_rows(spark):
+    """A part is learnt wherever its few sightings are, also if the corpus has it in lower case more often than it has partners."""
+    from mnemoweave.llm.pii import learn_lexicon, word_counts
+
+    filler = spark.range(40_000).selectExpr("concat('note ', id, ' is kept') AS text")
+    rare = spark.createDataFrame([("Zorvena Lee.",), ("ask Zorvena Cole.",), ("see Ann Quillmoor",), ("see Bert Quillmoor",), ("Mme Lee",), ("Mme Cole",)] + [("Ann Ostrava, zorvena lee, Zorvena Lee",)] * 20 + [(None,), ("",)], "text string")
+    lex = learn_lexicon(word_counts(filler.unionByName(rare)), {"Ann", "Bert"}, {"Lee", "Cole"})
+    assert lex.given == {"ann", "bert", "zorvena"} and lex.family == {"lee", "cole", "quillmoor"}
+    assert lex.common["kept"] == 40_000 and lex.common["zorvena"] == 20
+
+
+def test_plan_counts_facts(spark, tmp_path):
+    """Facts are redacted, so they are learnt from too."""
+    from mnemoweave.llm.plans.pii import p2_found
+
+    spark.createDataFrame([(1, "nothing here")], "seq long, text string").write.parquet(str(tmp_path / "messages.parquet"))
+    spark.createDataFrame([("f1", "met ann quillmoor today"), ("f2", "Thanks to Ann Quillmoor."), ("f3", "Thanks to Bert Quillmoor."), ("f4", "Name: C. Quillmoor")], "fact_id string, fact_text string").write.parquet(str(tmp_path / "facts.parquet"))
+    spark.createDataFrame([("given", "Ann"), ("given", "Bert"), ("family", "Lee")], "part_kind string, name_part string").write.parquet(str(tmp_path / "name_parts.parquet"))
+    got = {r["row_id"] for r in p2_found(spark, str(tmp_path)).collect()}
+    assert {"f2", "f3"} <= got
