@@ -1,6 +1,6 @@
 """Credentials inside listings, commands and settings: entropy per alphabet with length-adjusted thresholds.
 
-Candidates are quoted strings and long tokens. How much evidence a candidate must give by its entropy depends on where
+Candidates are quoted strings and long tokens, of every line. How much evidence a candidate must give by its entropy depends on where
 it stands: in the place of a credential (a key that names one, a login's second argument, a URL's user part) little is
 asked, elsewhere a lot. Hashes, identifiers, references and placeholders are excluded.
 """
@@ -59,6 +59,13 @@ _DSN = re.compile(r"(?<=[\"'`])[\w.-]+:(?P<b>[^\s/@\"'<>`:]+)@\w+\(")
 _SCHEME = re.compile(r"(?i)\b(?:bearer|basic|apikey|token)[ \t]+(?P<b>[A-Za-z0-9+/=._~\-]{8,})")
 _HEADER = re.compile(rf"(?i)\b(?P<name>x-[a-z-]*(?:auth|key|token|secret)[a-z-]*)[\"']?[ \t]*[:,=][ \t]*(?:{_QUOTED}|{_BARE})")
 _STRING = re.compile(r"(?<![\w\"'])(?P<q>[\"'`])(?P<v>[^\s\"'`<>{}$\\]{16,})(?P=q)")
+_LONG = re.compile(r"(?<![A-Za-z0-9+/_.\-~])[A-Za-z0-9+/_.\-~]{20,}={0,2}")
+_BEFORE_NONE = re.compile(r"(?i)(?:;base64,|\b(?:ssh|ecdsa|sk-ssh)-[\w@.\-]+ |\b(?:sha\d*|md5)[-:=/ ]\s?)$")
+_NAMED = re.compile(rf"(?P<name>{_NAME})[\"'\]]*[ \t]*[:=][ \t]*[\"'`]?$")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: Longest run of base64 signs that may be a credential; longer ones are encoded data.
+DATA = 512
+_ENCODED = re.compile(r"[\s\"'>|]*[A-Za-z0-9+/]{20,}={0,2}[\s\"'+,\\]*")
 _PIECE = re.compile(r"(?<=[\"'])[^\"'\s]{6,}(?=[\"'][ \t]*\+[ \t]*[\"'])")
 _MORE = re.compile(r"[ \t]*\+[ \t]*(?:\n[ \t]*)?(?P<q>[\"'])(?P<v>[^\"'\n]*)(?P=q)")
 
@@ -136,16 +143,56 @@ def accepted(v: str, strength: int, quoted: bool) -> bool:
     return kinds == 3 and r >= 0.72 + 2.0 / len(v) and re.fullmatch(r"[\w+/=.\-~]+", v) is not None and _DOTTED.fullmatch(v) is None
 
 
+def wordy(v: str) -> float:
+    """Share of v that is in words: three letters or more with a vowel. Names made of words have most of them there."""
+    return sum(len(w) for w in _WORDS.findall(v) if len(w) > 2 and re.search(r"(?i)[aeiouy]", w)) / len(v)
+
+
+def _line(text: str, a: int, b: int) -> tuple[int, int]:
+    hi = text.find("\n", b)
+    return text.rfind("\n", 0, a) + 1, len(text) if hi < 0 else hi
+
+
+def _is_block(text: str, a: int, b: int) -> bool:
+    """Whether it fills a line beside another such line: encoded data, no credential."""
+    lo, hi = _line(text, a, b)
+    if not _ENCODED.fullmatch(text, lo, hi):
+        return False
+    beside = [_line(text, x, x) for x in (lo - 1, hi + 1) if 0 <= x <= len(text)]
+    return any(_ENCODED.fullmatch(text, x, y) for x, y in beside)
+
+
+def long_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of the long tokens of all lines that stand alone; of paths and URLs, their parts. No hashes, public keys, data."""
+    for m in _LONG.finditer(text):
+        a, b = m.span()
+        while b > a and text[b - 1] in ".-~":  # closing punctuation
+            b -= 1
+        if b - a > DATA and "." not in text[a:b]:
+            continue
+        ahead = text[max(0, a - 60) : a]
+        named = _NAMED.search(ahead)
+        words = [w.lower() for part in _SPLIT.findall(named["name"]) for w in _CAMEL.split(part)] if named else []
+        if _BEFORE_NONE.search(ahead) or words and (words[-1] in NOT_LAST or NOT_ANY.intersection(words)) or _is_block(text, a, b):
+            continue
+        if text[a] not in "/.~":
+            yield a, b
+        if "/" in text[a:b]:
+            for part in re.finditer(r"[^/]{20,}", text[a:b]):
+                if not re.search(r"\.\w{2,5}$", part[0]):
+                    yield a + part.start(), a + part.end()
+
+
 _PLACES = ((_INNER, None), (_TUPLE, None), (_ADD, None), (_PAIR, None), (_ELEMENT, None), (_HEADER, 1), (_ASSIGN, None), (_ENV, None), (_CALL, None), (_NETRC, 2), (_SLASHED, 2), (_SQL, 2), (_FLAG, 2), (_USERPW, 2), (_MYSQL, 2), (_URL, 2), (_DSN, 2), (_SCHEME, 1))
 _CALLS = re.compile(r"(?i)(?:jwt\.(?:sign|encode|verify|decode)|basic_?auth|credentials?|login|setpassword|set_?secret|authenticate)$")
 
 
-#: A line is looked into if it has one of CUES and one of these marks of code.
+#: The places of credentials are sought in a line if it has one of CUES and one of these marks of code.
 _CODE = re.compile(r"[=\"`<@+]|://|: ?[^ ]|['(] ?'|'[,)]|\b(?:ENV|ARG|export|machine|IDENTIFIED|sshpass|mysql\w*)\b|PASSWORD|\blogin ")
 
 
 def _stretches(text: str, low: str) -> Iterator[tuple[int, int]]:
-    """The lines worth a look, as (start, end); a line that ends in `>`, `|` or `+` takes the next one in."""
+    """The lines that may have places of credentials, as (start, end); a line that ends in `>`, `|` or `+` takes the next one in."""
     a, n = 0, len(text)
     while a < n:
         b = text.find("\n", a)
@@ -164,9 +211,7 @@ def find_credentials(text: str | None) -> list[list[tuple[int, int]]]:
     if not text:
         return []
     low = text.lower()
-    if len(low) != len(text) or not any(c in low for c in CUES):
-        if len(low) == len(text):
-            return []
+    if len(low) != len(text):
         low = "".join(c if len(x := c.lower()) != 1 else x for c in text)
     out: list[list[tuple[int, int]]] = []
     closed: list[tuple[int, int]] = []  # stretches already judged
@@ -190,7 +235,7 @@ def find_credentials(text: str | None) -> list[list[tuple[int, int]]]:
             out.append(spans)
             closed.append((a, spans[-1][1]))
 
-    for lo, hi in _stretches(text, low):
+    for lo, hi in _stretches(text, low) if any(c in low for c in CUES) else ():
         for m in ISSUED.finditer(text, lo, hi):
             a, b = m.span()
             take(a, b, 2, text[b : b + 1] in ("\"", "'", "`"))
@@ -225,6 +270,13 @@ def find_credentials(text: str | None) -> list[list[tuple[int, int]]]:
             take(*m.span("v"), 0, True)
         for m in _PIECE.finditer(text, lo, hi):
             take(*m.span(), 1, True)
+    # in all lines, whatever stands around
+    for m in _STRING.finditer(text):
+        if wordy(m["v"]) < 0.6 and not _is_block(text, *m.span("v")):
+            take(*m.span("v"), 0, True)
+    for a, b in long_tokens(text):
+        if wordy(text[a:b]) < 0.6:
+            take(a, b, 0, False)
     return sorted(out)
 
 

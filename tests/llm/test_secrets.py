@@ -55,3 +55,24 @@ def test_rows(spark):
     assert sorted(r["seq"] for r in rows) == [3, 3, 4] and max(r["start_char"] for r in rows) == len(long) - 12
     assert [r["text"] for r in redacted(df.where("seq < 4")).orderBy("seq").collect()] == [None, "", f"DB_PASS={BLANK}", f"DB_PASS={BLANK}"]
     assert credentials(df.limit(0)).count() == 0
+
+
+# no word on the line says that there is a credential
+ANYWHERE = [
+    "const v = '‹Zk3vQ9xLw7TbN2mRf8YcHs5J›';", "deploy run ‹Zk3vQ9xLw7TbN2mRf8YcHs5J› now", "db.test:5432:app:svc:‹Zk3vQ9xLw7TbN2mRf8YcHs5J›", "post to /services/T01/B02/‹Zk3vQ9xLw7TbN2mRf8YcHs5J›.", "VALUE=‹Zk3vQ9xLw7/bN2mRf+YcHs5Jg==›",
+    "İ\nx = \"‹Zk3vQ9xLw7TbN2mRf8YcHs5J›\"",
+]
+NOWHERE = [
+    "run 4f9c2b7e8d1a6053bc4e9f7a2d8c1b60 now", "the label Nimorath-Sabitolex-08 and getUserById2ForTenantXyz", "const img = 'data:image/png;base64,3ca22oaocOdB2gvlZLIQnKJgzXE7XrgTdVNQx36tA1S4AuRWYmKqN9IfJIBpyyhil==';", "see https://a.test/static/Zk3vQ9xLw7TbN2mRf8YcHs5J.png",
+    "etag: Zk3vQ9xLw7TbN2mRf8YcHs5J", "ssh-ed25519 AAAA1b0a2kODZrJ2wjF33Q2CO4gAWWDOwLp5iD4XVAo7SU45o== laptop", "Zk3vQ9xLw7TbN2mRf8YcHs5JZk3v\n3ca22oaocOdB2gvlZLIQnKJgzXE7\n9IfJIBpyyhil", "要するに、Astarazenの書き出しは時刻が合わないので25個の目標の一覧を保っています",
+]
+
+
+@pytest.mark.parametrize("case", ANYWHERE)
+def test_found_without_cue(case):
+    test_found(case)
+
+
+@pytest.mark.parametrize("text", NOWHERE)
+def test_near_miss_without_cue(text):
+    test_near_miss(text)
