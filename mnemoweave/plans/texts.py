@@ -106,9 +106,17 @@ def empty_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _m(spark, sf_dir).where("coalesce(text, '') <> ''").select("seq")
 
 
+def extract_text_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents of several kinds, made of every text: strings, a mix with objects, a kind without text."""
+    return _extracted(_m(spark, sf_dir))
+
+
 def extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contents of several kinds, made of the text: strings, a mix with objects, a kind without text."""
-    m = _m(spark, sf_dir).where("text is not null and text not like '%\\\\%' and text not like '%\"%' and text not rlike '^\\\\s*[\\\\[{]'")
+    """The part of extract_text_all that SQL can follow: texts that are no JSON and need no escapes."""
+    return _extracted(_m(spark, sf_dir).where("text is not null and text not like '%\\\\%' and text not like '%\"%' and text not rlike '^\\\\s*[\\\\[{]'"))
+
+
+def _extracted(m: DataFrame) -> DataFrame:
     kind = F.element_at(F.array(F.lit("text"), F.lit("multimodal_text"), F.lit("code")), (F.col("seq") % 3 + 1).cast("int"))
     parts = F.array(F.lit("a"), F.lit('{"text":"b"}'), F.col("text"))
     return m.select("seq", M.text_of(F.struct(kind.alias("content_type"), parts.alias("parts"))).alias("text"))
@@ -247,7 +255,7 @@ def conversation_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NAMES = (
-    "export_scan terminal_node active_branch_path messages_flat hidden_filter role_filter message_defaults role_resolution ts_coalesce conv_identity empty_text_filter extract_text export_stats limit_messages limit_conversations redact_text "
+    "export_scan terminal_node active_branch_path messages_flat hidden_filter role_filter message_defaults role_resolution ts_coalesce conv_identity empty_text_filter extract_text extract_text_all export_stats limit_messages limit_conversations redact_text "
     "redact_pii_off redaction_counts elide_code_blocks truncate_middle build_view view_stats scan_secrets scan_kv_entropy scan_pii scan_phone high_entropy token_count token_totals normalize_fact_text ellipsis_truncate fmt_ts fmt_confidence category_file_key content_ids conversation_runs"
 ).split()
 QUERIES = {n: globals()[n] for n in _NAMES} | {"single_line": single_line_q}

@@ -60,3 +60,27 @@ def test_view(spark):
     got = M.build_view(df, chars=80).orderBy("seq").collect()
     assert [(r["text"][:6], r["cut"], r["extra"]) for r in got] == [("", False, "k"), ("token=", True, "k")] and got[1]["redactions"] == {"secret_kv": 1}
     assert {r["metric"]: r["value"] for r in M.view_stats(df, M.build_view(df, chars=80)).collect()}["messages"] == 2
+
+
+def test_extract_text_of_every_row(spark, tmp_path):
+    """Held against the plain rules, also for nulls and for texts that look like JSON."""
+    from mnemoweave.plans.texts import extract_text_all
+
+    texts = ["plain", None, "", "a \\ b", 'say "x"', "{not json", "[1, 2", ' {"text": "in"} \n', '{"no": 1}', "[1, 2]", "{}", '{"text": "q\\"\\u00e9"}', "end \n\t ", '{"text": null}']
+    rows = [(i, t) for i, t in enumerate(texts * 3)]  # 14 texts: each meets every kind
+    spark.createDataFrame(rows, "seq long, text string").write.parquet(str(tmp_path / "messages.parquet"))
+
+    def parsed(p):
+        try:
+            x = json.loads(p)
+        except ValueError:
+            return p
+        return x if isinstance(x, (dict, list)) else p
+
+    def plain(seq, text):
+        parts = [parsed(p) for p in ("a", '{"text":"b"}', text) if p is not None]
+        strings = [p for p in parts if isinstance(p, str)]
+        mixed = [p if isinstance(p, str) else p["text"] for p in parts if isinstance(p, str) or isinstance(p, dict) and isinstance(p.get("text"), str)]
+        return ("\n".join(strings).rstrip(), "\n".join(mixed).rstrip(), "")[seq % 3]
+
+    assert {r["seq"]: r["text"] for r in extract_text_all(spark, str(tmp_path)).collect()} == {i: plain(i, t) for i, t in rows}
