@@ -211,6 +211,19 @@ def judge(model: Model, text: str | None) -> list[tuple[int, int, str, float]]:
     return [(a, b, model.langs[k], round(float(np.mean(ps)), 4)) for a, b, k, ps in out]
 
 
+def judge_words(model: Model, text: str | None) -> tuple[str, float] | None:
+    """(language, confidence) of all words of a text in which no sentence was found; None if it has no word or none that the
+    model knows anything of. Quoted terms count if there is nothing else."""
+    if not text:
+        return None
+    for ws in (tokens(text), _TOKEN.findall(text.lower())):
+        v = model.score(ws)
+        if v.any():
+            e = np.exp(np.clip(v - v.max(), -60, 0))
+            return model.langs[int(v.argmax())], round(float(e.max() / e.sum()), 4)
+    return None
+
+
 def fitted(documents: DataFrame, languages: DataFrame, rows: int = FIT_DOCS) -> tuple[Model, dict[str, str]]:
     """(model, spellings of labels). The sample is about `rows` labelled documents by the hash of their id."""
     langs = sorted((r[0], r[1]) for r in languages.where("lang_code is not null").select("lang_code", "lang_name").distinct().collect())
@@ -222,11 +235,12 @@ def fitted(documents: DataFrame, languages: DataFrame, rows: int = FIT_DOCS) ->
     return fit(known, [c for c, _ in langs]), codes
 
 
-def segments(documents: DataFrame, model: Model, codes: dict[str, str]) -> DataFrame:
+def segments(documents: DataFrame, model: Model, codes: dict[str, str], every: bool = False) -> DataFrame:
     """(doc_id, label_lang, segment_no, start_char, end_char, lang, confidence): the stretches in one language.
 
     label_lang is the code the document's label names, or null. Null, blank and sentence-less texts have one row with
-    null segment_no, lang and confidence 0. One pass beside the scan, no shuffle.
+    null segment_no, lang and confidence 0; with `every`, that row of a text without sentence has the language of its words
+    and goes from its beginning to its end. One pass beside the scan, no shuffle.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by FIT_DOCS
 
@@ -236,8 +250,11 @@ def segments(documents: DataFrame, model: Model, codes: dict[str, str]) -> DataF
             rows = []
             for d, t, label in zip(b["doc_id"], b["text"], b["lang"], strict=True):
                 code = label_code(label if isinstance(label, str) else None, codes)
-                found = judge(m, t if isinstance(t, str) else None)
-                rows += [(d, code, i, a, e, x, p) for i, (a, e, x, p) in enumerate(found)] or [(d, code, None, None, None, None, 0.0)]
+                t = t if isinstance(t, str) else None
+                found = [(i, *x) for i, x in enumerate(judge(m, t))]
+                if not found and every and (of_words := judge_words(m, t)):
+                    found = [(None, 0, len(t), *of_words)]
+                rows += [(d, code, *x) for x in found] or [(d, code, None, None, None, None, 0.0)]
             out = pd.DataFrame(rows, columns=["doc_id", "label_lang", "segment_no", "start_char", "end_char", "lang", "confidence"])
             yield out.astype({c: "Int32" for c in ("segment_no", "start_char", "end_char")})
 
@@ -245,10 +262,14 @@ def segments(documents: DataFrame, model: Model, codes: dict[str, str]) -> DataF
     return documents.select("doc_id", "text", "lang").mapInPandas(run, f"doc_id {kind}, label_lang string, segment_no int, start_char int, end_char int, lang string, confidence double")
 
 
-def document_languages(found: DataFrame) -> DataFrame:
-    """(doc_id, lang, confidence, n_chars, label_lang): per document and language its stretches' length and confidence."""
-    n = F.col("end_char") - F.col("start_char")
-    return found.where("lang is not null").groupBy("doc_id", "label_lang", "lang").agg((F.sum(F.col("confidence") * n) / F.sum(n)).alias("confidence"), F.sum(n).alias("n_chars"))
+def document_languages(found: DataFrame, every: bool = False) -> DataFrame:
+    """(doc_id, lang, confidence, n_chars, label_lang): per document and language its stretches' length and confidence.
+
+    With `every`, documents without a language are kept as one row: null, confidence 0, no characters.
+    """
+    n = F.coalesce(F.col("end_char") - F.col("start_char"), F.lit(0))
+    rows = found if every else found.where("lang is not null")
+    return rows.groupBy("doc_id", "label_lang", "lang").agg(F.coalesce(F.try_divide(F.sum(F.col("confidence") * n), F.sum(n)), F.lit(0.0)).alias("confidence"), F.sum(n).alias("n_chars"))
 
 
 def wrong_labels(found: DataFrame) -> DataFrame:

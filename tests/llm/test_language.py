@@ -64,3 +64,25 @@ def test_held_out_labels(spark, model):
     docs = spark.read.parquet(f"{D}/documents.parquet")
     wrong = wrong_labels(segments(docs.where("lang in ('de', 'en', 'es', 'fr', 'it', 'ja', 'nl', 'pt', 'ru') and length(text) > 20"), *model)).select("doc_id").distinct().count()
     assert wrong < 0.25 * docs.count()
+
+
+def test_every_document(spark, model):
+    """Documents without a sentence are judged by their words; those without a word stay, with none."""
+    rows = [(1, "## Der alte Plan", "de"), (2, None, "en"), (3, " \n", None), (4, "12 34", "en"), (5, TEXTS["fr"], "fr"), (6, "|Старый|план|\n|-|-|\n|последнее|сообщение|", None), (7, TEXTS["en"] + "\n\n" + TEXTS["ru"], "en"), (2, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {(r["doc_id"], r["lang"]): r for r in document_languages(segments(df, *model, every=True), every=True).collect()}
+    assert set(got) == {(1, "de"), (2, None), (3, None), (4, None), (5, "fr"), (6, "ru"), (7, "en"), (7, "ru")}
+    assert got[1, "de"]["n_chars"] == 16 and got[1, "de"]["confidence"] > 0.5
+    assert [(got[k]["confidence"], got[k]["n_chars"]) for k in ((2, None), (3, None), (4, None))] == [(0.0, 0)] * 3
+    assert sorted(r["doc_id"] for r in wrong_labels(segments(df, *model)).collect()) == [7, 7]
+
+
+def test_plan_keeps_every_document(spark, tmp_path):
+    from mnemoweave.llm.plans.language import p8_documents
+
+    d = spark.read.parquet(f"{D}/documents.parquet")
+    more = spark.createDataFrame([(-1, "# Kurze Notiz", "de"), (-2, None, None)], "doc_id long, text string, lang string")
+    d.limit(200).select("doc_id", "text", "lang").union(more).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{D}/languages.parquet").write.parquet(str(tmp_path / "languages.parquet"))
+    ids = {r["doc_id"] for r in spark.read.parquet(str(tmp_path / "documents.parquet")).select("doc_id").collect()}
+    assert {r["doc_id"] for r in p8_documents(spark, str(tmp_path)).collect()} == ids
