@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from mnemoweave.functions import text as X
 from mnemoweave.operators.claims import chunk_id_of, line_format
+from mnemoweave.session import ship
 
 MESSAGE = "conv_id string, title string, ts double, role string, message_id string, text string"
 
@@ -58,41 +64,81 @@ def review_actions(spark: SparkSession, path: str) -> DataFrame:
 # -- one giant JSON array -------------------------------------------------------------------------------------------
 
 
-def elements(read, start: int, end: int, size: int, unit: int = 1 << 20) -> Iterator[str]:
+_ESCAPED = re.compile(rb"\\.", re.S)
+_NONE = 1 << 60  # no bracket at all
+
+
+def is_escaped(read, start: int) -> bool:
+    """Whether the byte at `start` stands behind an odd number of backslashes."""
+    n, at = 0, start
+    while at:
+        k = min(at, 4096)
+        tail = read(at - k, k)
+        more = k - len(tail.rstrip(b"\\"))
+        n, at = n + more, at - k
+        if more < k:
+            break
+    return n % 2 == 1
+
+
+def range_change(read, start: int, end: int, unit: int = 1 << 20) -> list[list[int]]:
+    """What the range does to the depth if it begins outside a string and if inside of one: [change, least change behind a
+    bracket, 1 if it ends inside a string] for each."""
+    out = [[0, _NONE, 0], [0, _NONE, 1]]
+    at, rest = start + is_escaped(read, start), b""
+    while at < end:
+        more = read(at, min(unit, end - at))
+        if not more:
+            break
+        at += len(more)
+        data = rest + more
+        odd = (len(data) - len(data.rstrip(b"\\"))) % 2
+        rest, data = data[len(data) - odd :], data[: len(data) - odd]
+        parts = _ESCAPED.sub(b"", data).split(b'"')
+        for x in out:
+            signs = np.frombuffer(b"".join(parts[x[2] :: 2]), np.uint8)
+            step = np.isin(signs, (0x5B, 0x7B)).astype(np.int64) - np.isin(signs, (0x5D, 0x7D))
+            steps = np.cumsum(step[step != 0])
+            if len(steps):
+                x[1] = min(x[1], x[0] + int(steps.min()))
+                x[0] += int(steps[-1])
+            x[2] = (x[2] + len(parts) - 1) % 2
+    return out
+
+
+def range_starts(changes: list[list[list[int]]]) -> list[tuple[int, int] | None]:
+    """(depth, 1 inside a string) in which each range begins; None behind the array's end."""
+    out: list[tuple[int, int] | None] = []
+    depth, quoted, over = 0, 0, False
+    for x in changes:
+        out.append(None if over else (depth, quoted))
+        change, least, ends = x[quoted]
+        over = over or depth + least <= 0
+        depth, quoted = depth + change, ends
+    return out
+
+
+def elements(read, start: int, end: int, state: tuple[int, int] = (0, 0), unit: int = 1 << 20) -> Iterator[str]:
     """Top-level elements of a JSON array of objects that begin in ``start <= offset < end``.
 
-    `read(offset, n)` gives bytes. The scan knows its depth only from the array's beginning, so each range first looks for a
-    place that can be nothing but a border between two elements: a line that begins with an object after a comma. Files
-    written without such lines are read by one range.
+    `read(offset, n)` gives bytes, `state` is the depth at `start` and whether it is inside a string (``range_starts``).
     """
-    at = max(0, start - 3)  # a border whose last sign is the first of this range counts
-    data = b""
-    if start:
-        found = -1
-        while found < 0:
-            more = read(at + len(data), unit)
-            if not more:
-                return
-            data += more
-            found = data.find(b"},\n{")
-            if found >= 0 and at + found + 3 >= end or found < 0 and at + len(data) > end + unit:
-                return
-        at += found + 3
-        data = data[found + 3 :]
-        if at >= end:
-            return
-    depth, quoted, escaped, begin, i = 0, False, False, -1, 0
-    first = start == 0
+    at, data, begin, i = start, b"", -1, 0
+    first = state[0] == 0
+    depth, quoted = max(0, state[0] - 1), bool(state[1])
+    escaped = quoted and is_escaped(read, start)
     while True:
         if i >= len(data):
+            if begin < 0:  # nothing pending: what has been gone through is dropped
+                at += len(data)
+                data, i = b"", 0
+                if start and at >= end:
+                    return
             more = read(at + len(data), unit)
             if not more:
-                if first:
+                if first and not start:
                     raise ValueError("no JSON array")
                 return
-            if begin < 0:  # nothing pending: what has been gone through is dropped
-                at += len(data)
-                data, i = b"", 0
             data += more
         c = data[i]
         if first:
@@ -119,41 +165,52 @@ def elements(read, start: int, end: int, size: int, unit: int = 1 << 20) -> Iter
             if depth == 0:
                 return  # the array's end
             depth -= 1
-            if depth == 0:
+            if depth == 0 and begin >= 0:
                 yield data[begin : i + 1].decode("utf-8", "replace")
                 begin = -1
         i += 1
 
 
+def _reader(f):  # noqa: ANN001, ANN202
+    def read(offset: int, n: int) -> bytes:
+        f.seek(offset)
+        return f.read(n)
+
+    return read
+
+
+def _ranges(path: str, split: int) -> list[tuple[int, int]]:
+    size = os.path.getsize(path)
+    return [(a, min(a + split, size)) for a in range(0, max(1, size), split)]
+
+
+def _changes(path: str, ranges: list[tuple[int, int]]) -> list[list[list[int]]]:
+    with open(path, "rb") as f:
+        return [range_change(_reader(f), a, b) for a, b in ranges]
+
+
 class JsonArrayReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.split = options["path"].removeprefix("file://"), int(options.get("split_bytes", 128 << 20))
+        self.starts = json.loads(options["starts"]) if "starts" in options else None
 
     def partitions(self) -> list[InputPartition]:
-        import os
-
-        size = os.path.getsize(self.path)
-        with open(self.path, "rb") as f:
-            lined = b"},\n{" in f.read(8 << 20) or size <= self.split
-        step = self.split if lined else size + 1
-        return [InputPartition((a, min(a + step, size), size)) for a in range(0, max(1, size), step)]
+        ranges = _ranges(self.path, self.split)
+        starts = self.starts or range_starts(_changes(self.path, ranges) if len(ranges) > 1 else [[[0, _NONE, 0]] * 2])
+        return [InputPartition((a, b, tuple(x))) for (a, b), x in zip(ranges, starts, strict=True) if x is not None]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        a, b, size = partition.value
+        a, b, state = partition.value
         with open(self.path, "rb") as f:
-
-            def read(offset: int, n: int) -> bytes:
-                f.seek(offset)
-                return f.read(n)
-
-            for x in elements(read, a, b, size):
+            for x in elements(_reader(f), a, b, state):
                 yield (x,)
 
 
 class JsonArraySource(DataSource):
     """``spark.read.format("json_array").load(path)``: the objects of one JSON array, a row each, in ranges of the file.
 
-    Missing and repeated commas between elements don't matter. The file must be on storage that all executors mount.
+    Missing and repeated commas between elements don't matter, nor how lines are broken: a range's depth is known from those before
+    it. ``export`` finds that out with all workers, a plain load beforehand on its own. The file must be on storage that all executors mount.
     """
 
     @classmethod
@@ -168,6 +225,18 @@ class JsonArraySource(DataSource):
 
 
 def export(spark: SparkSession, path: str, split_bytes: int = 128 << 20) -> DataFrame:
-    """The conversations of a raw export, as JSON texts (column value)."""
+    """The conversations of a raw export, as JSON texts (column value). A first pass leaves three numbers per range and state."""
+    ship(spark)
     spark.dataSource.register(JsonArraySource)
-    return spark.read.format("json_array").option("split_bytes", split_bytes).load(path)
+    load = spark.read.format("json_array").option("split_bytes", split_bytes)
+    file = path.removeprefix("file://")
+    ranges = _ranges(file, split_bytes)
+    if len(ranges) > 1:
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield pd.DataFrame({"id": b["id"], "change": [json.dumps(_changes(file, [ranges[k]])[0]) for k in b["id"]]})
+
+        rows = spark.range(0, len(ranges), 1, min(len(ranges), 10_000)).mapInPandas(run, "id long, change string").collect()
+        load = load.option("starts", json.dumps(range_starts([json.loads(r["change"]) for r in sorted(rows, key=lambda r: r["id"])])))
+    return load.load(path)

@@ -84,3 +84,27 @@ def test_late(spark, tmp_path):
     q = late_messages(spark.readStream.schema("ts double, role string").parquet(str(tmp_path / "m"))).writeStream.format("memory").queryName("late").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.table("late").agg({"messages": "max"}).first()[0] == 2
+
+
+def test_array_any_layout(tmp_path):
+    """Whatever stands between the elements and however their insides are broken, ranges of any size give what one gives."""
+    objects = [{"id": i, "t": 'a"}],\n{[\\' * (i % 3) + "\\\\" * (i % 5), "n": {"x": [{"y": "é\"}"}, {"z": i}]}} for i in range(40)]
+    one = [json.dumps(o, ensure_ascii=False) for o in objects]
+    broken = [json.dumps(o, ensure_ascii=False, indent=0) for o in objects]
+    seps = [",\n", "\n", ", ", ",\r\n", ",\n\n", " ,, ", ""]
+    mixed = "".join(x + seps[i % 7] for i, x in enumerate(one))
+    for text in (f"[{mixed}]", "[" + ",\n".join(broken) + "]", "\n" * 300 + f" [{mixed}]\n", f"[{mixed}] [{{}}]"):
+        p = tmp_path / "e.json"
+        p.write_text(text)
+        for split in (1 << 20, 700, 97, 13):
+            reader = jsonl.JsonArrayReader({"path": str(p), "split_bytes": split})
+            assert [json.loads(x) for part in reader.partitions() for (x,) in reader.read(part)] == objects
+    p.write_text('[{"id": 1}]' + " " * 40 + "[{}] x")
+    reader = jsonl.JsonArrayReader({"path": str(p), "split_bytes": 20})
+    assert [x for part in reader.partitions() for (x,) in reader.read(part)] == ['{"id": 1}']
+
+
+def test_export_any_layout(spark, tmp_path):
+    p = tmp_path / "e.json"
+    p.write_text("[" + "\n".join(json.dumps({"id": i, "n": [{"a": 1}, {"b": "}"}]}, indent=0) for i in range(60)) + "]")
+    assert sorted(json.loads(r[0])["id"] for r in jsonl.export(spark, str(p), 500).collect()) == list(range(60))
