@@ -107,10 +107,10 @@ class Model:
     """Scores of words and n-grams per language, as log frequency less the languages' mean, limited."""
 
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], ngrams: dict[str, np.ndarray]):
-        self.langs, self.words, self.ngrams, self.memo = langs, words, ngrams, {}
+        self.langs, self.words, self.ngrams, self.memo, self.known = langs, words, ngrams, {}, {}
 
     def __getstate__(self):
-        return {**self.__dict__, "memo": {}}
+        return {**self.__dict__, "memo": {}, "known": {}}
 
     def word(self, w: str) -> np.ndarray:
         if (v := self.words.get(w)) is not None:
@@ -127,6 +127,17 @@ class Model:
             self.memo[w] = v
         return v
 
+    def knows(self, w: str) -> bool:
+        """Whether the word or, of an unseen one, half of its n-grams of some length over one are in the tables."""
+        if w in self.words:
+            return True
+        if (v := self.known.get(w)) is None:
+            v = any(n > 1 and 2 * sum(g in self.ngrams for g in gs) >= len(gs) for n, gs in grams(w))
+            if len(self.known) > 200_000:
+                self.known.clear()
+            self.known[w] = v
+        return v
+
     def score(self, ws: list[str]) -> np.ndarray:
         return np.sum([self.word(w) for w in ws], 0) if ws else np.zeros(len(self.langs), np.float32)
 
@@ -185,9 +196,9 @@ def judge(model: Model, text: str | None) -> list[tuple[int, int, str, float]]:
     for a, b in sentences(text):
         ws = tokens(text[a:b])
         asian = _CJK.search(text, a, b)
-        known = sum(w in model.words for w in ws)
+        known = sum(model.knows(w) for w in ws)
         digits = sum(c.isdigit() for c in text[a:b])
-        # figures and codes that end like sentences aren't any
+        # figures and codes that end like sentences aren't any: they have few letters, or none of any language's n-grams
         if len(ws) >= (6 if asian else 3) and (asian or known >= max(2, len(ws) // 4)) and sum(map(len, ws)) >= 2 * digits:
             units.append((a, b, model.score(ws), len(ws)))
     if not units:

@@ -86,3 +86,12 @@ def test_plan_keeps_every_document(spark, tmp_path):
     spark.read.parquet(f"{D}/languages.parquet").write.parquet(str(tmp_path / "languages.parquet"))
     ids = {r["doc_id"] for r in spark.read.parquet(str(tmp_path / "documents.parquet")).select("doc_id").collect()}
     assert {r["doc_id"] for r in p8_documents(spark, str(tmp_path)).collect()} == ids
+
+
+def test_unseen_words(model):
+    """Sentences of words that the sample hasn't are judged by their n-grams."""
+    m = model[0]
+    text = "Verzögerungslosigkeit beschleunigte Nachbarschaftlichkeiten."
+    assert not any(w in m.words for w in text.lower().rstrip(".").split())
+    assert [g[2] for g in judge(m, text)] == ["de"]
+    assert judge(m, "A1 B22 333 4444 55555.") == []
