@@ -88,11 +88,28 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-(self.scale * self.raw(x) + self.shift)))
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the gap that gives the greatest F1 on held-out rows."""
-    order = np.argsort(-p)
-    hit = np.cumsum(np.asarray(y, float)[order])
-    f1 = 2 * hit / (np.arange(1, len(p) + 1) + max(1, np.sum(y)))
-    k = int(f1.argmax())
-    low = p[order[k + 1]] if k + 1 < len(p) else 0.0
-    return float((p[order[k]] + low) / 2)
+def prior_shift(n: np.ndarray, prior: float, rounds: int = 200) -> np.ndarray:
+    """Probabilities of the steps 0..1 of a score, corrected for the share of true ones among `n` rows per step.
+
+    The score is calibrated where that share is `prior`; the share here is found by expectation maximisation.
+    """
+    p = np.linspace(0, 1, len(n)).clip(1e-4, 1 - 1e-4)
+    odds = p / (1 - p) * (1 - prior) / prior
+    share, total = prior, n.sum()
+    for _ in range(rounds):
+        q = odds * share / (1 - share)
+        q /= 1 + q
+        share = ((n * q).sum() + 0.5) / (total + 1)
+    return q
+
+
+def best_expected(n: np.ndarray, q: np.ndarray) -> float:
+    """The step 0..1 from which rows are taken for the greatest expected F1; `q` are the steps' probabilities."""
+    hit, taken = np.cumsum((n * q)[::-1])[::-1], np.cumsum(n[::-1])[::-1]
+    f1 = 2 * hit / np.maximum(1e-9, taken + (n * q).sum())
+    # the highest of equal steps, then the middle of the empty ones below it
+    k = len(n) - 1 - int(f1[::-1].argmax())
+    low = k
+    while low > 0 and not n[low - 1]:
+        low -= 1
+    return (k + low) / 2 / (len(n) - 1)

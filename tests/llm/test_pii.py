@@ -5,22 +5,25 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from mnemoweave.llm.boosting import BoostedTrees, best_threshold
-from mnemoweave.llm.pii import fitted, labelled_sample, personal_spans, redact, redacted
+from mnemoweave.llm.boosting import BoostedTrees, best_expected, prior_shift
+from mnemoweave.llm.pii import calibrated, chosen, fitted, labelled_sample, personal_spans, redact, redacted, scored, thresholds_of
 
 D = "/root/testdata/sf0.01"
-# ‹type:span›
+# Written by hand, in words of their own. ‹type:span›
 CASES = [
-    "My full name is ‹name:Priya Vexmoor›, but keep it out.", "Dr. ‹name:Zdenka M. Underhallow› signed off.", "Both ‹name:A. Oyelambe› and ‹name:Ottoline Brantholt› joined the call.", "‹name:Pettifern, Dragan› repeats a note.",
-    "Best regards,\n‹name:imogen gallowmere›\n", "a;3;‹name:ULRIKE PETTIFERN›;b", "担当は‹name:Elspeth Pettifern›さんです。", "Send the export to ‹email:bohdan.s@studio-nord.example›, please.", "You can reach me at ‹email:ulrike.g@mail.example› any time.",
-    "(write to ‹email:velvet.ribbon [at] example [dot] com›)", "mail ‹email:mmendelarte @ post.example.org› now", "連絡先は‹email:dagny-pettifern＠example.net›です。", "Dial ‹phone:+1 212 555 0173› and ask.", "Tel. ‹phone:030/23125-155› / ‹phone:+44 (0)20 7946 0744›", "my cell (‹phone:01.99.00.37.49›) is off",
-    "call ‹phone:(212) 555-0128› tonight", "SSN ‹id_number:921-09-2936›", "passport no. ‹id_number:QQ 35 54 95 B›, expires", "Mi DNI es ‹id_number:00822617M›.", "ssn=‹id_number:JX254860<9› and", "My home address is ‹address:124 mill hollow drive›.", "Envíalo a ‹address:calle de los Tilos Altos, 86›.",
-    "Deliver here: ‹address:21, boulevard Fernelle, 63352 Port Ellisford›", "Anschrift: ‹address:Am Alten Deich 30›",
-]
+    "The tenant, ‹name:Priya Vexmoor›, paid twice.", "Prof. ‹name:Zdenka M. Underhallow› gave the talk.", "We saw ‹name:A. Oyelambe› with ‹name:Ottoline Brantholt› at the fair.",
+    "‹name:Pettifern, Dragan› was absent.", "Kind regards,\n‹name:imogen gallowmere›\n", "id;role;‹name:ULRIKE PETTIFERN›;2", "It is ‹name:Priya Vexmoor›'s bicycle.",
+    "Forward it to ‹email:bohdan.s@studio-nord.example› today.", "mine is ‹email:velvet.ribbon [at] example [dot] com›", "<‹email:mmendelarte @ post.example.org›>", "メール: ‹email:dagny-pettifern＠example.net›",
+    "Mobile: ‹phone:+1 212 555 0173›", "fax ‹phone:030/23125-155›, or ‹phone:+44 (0)20 7946 0744›", "Please phone ‹phone:(212) 555-0128› before noon", "電話は‹phone:020 7946 0601›です",
+    "His SSN: ‹id_number:921-09-2936›", "tax id ‹id_number:QQ 35 54 95 B›", "Steuer-ID: ‹id_number:00822617M›", "passport ‹id_number:JX254860<9› (copy)",
+    "Deliver to ‹address:124 Mill Hollow Drive› by noon", "Mi dirección: ‹address:calle de los Tilos Altos, 86›", "habite ‹address:21, boulevard Fernelle, 63352 Port Ellisford›", "Anschrift: ‹address:Am Alten Deich 30›",
+    "Wohnhaft ‹address:Rosenring 14›", "domicilio: ‹address:C/ Verdel, 12, 3º B›",
+]
 NEAR = [
-    "row 572 12 1210 of the ledger", "Version 10.20.77.4438 fixed it.", "ISBN 000-0-9783-691-7 was quoted.", "Order 2859 1122 7644 8697 was only a test fixture.", "Ticket 2064-10-0908 covers the rest.", "The cache sits at address 10.0.12.4 in the sketch.",
-    "The plan for Velvet Anchor is late.", "Should we keep Winter Compass or start over?", "Upper Weir Terrace is just the name of a playlist.", "redis://app:pw1@cache.test:6379", "Install @mossgrep/core@61.2.1 first.", "Ping @reviewbot in the channel.", "", "   ", "run 241.277.3507 of the job took 68 s", "-----BEGIN RSA PRIVATE KEY-----",
-]
+    "see record 572 12 1210", "Version 10.20.77.4438 is out", "the ISBN 979-0-9783-691-7", "order no. 2859 1122 7644 8697", "ticket: 2064-10-0908", "the host 10.0.12.4 is down",
+    "Winter Compass starts on Monday.", "redis://app:pw1@cache.test:6379", "npm i @mossgrep/core@61.2.1", "Ping @somebody now.", "", "   ", "-----BEGIN RSA PRIVATE KEY-----",
+    "after comparing 43 jars with us", "during 5 weeks of rain", "the spring 12 years ago", "monitoring 80 hosts", "During 5 weeks it rained", "Comparing 43 jars takes long", "id 53284775-16af-934b-d64b-2e836299b001",
+]
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +31,11 @@ def detector(spark):
     return fitted(spark.read.parquet(f"{D}/messages.parquet"), spark.read.parquet(f"{D}/name_parts.parquet"))
 
 
+@pytest.fixture(scope="module")
+def thresholds(spark, detector):
+    return calibrated(scored(spark.read.parquet(f"{D}/messages.parquet").select("text").repartition(8), detector), detector)
+
+
 def parse(case: str) -> tuple[str, list]:
     text, spans = "", []
     for i, part in enumerate(case.replace("›", "‹").split("‹")):
@@ -41,15 +49,14 @@ def parse(case: str) -> tuple[str, list]:
 
 
 @pytest.mark.parametrize("case", CASES)
-def test_found(detector, case):
+def test_found(detector, thresholds, case):
     text, spans = parse(case)
-    got = [(a, k) for a, _, k, _ in detector.find_all([text])[0]]
-    assert got == [(a, k) for a, _, k in spans]
+    assert [(a, b, k) for a, b, k, _ in chosen(detector.score_all([text])[0], thresholds)] == spans
 
 
 @pytest.mark.parametrize("text", NEAR)
-def test_near_miss(detector, text):
-    assert detector.find_all([text]) == [[]]
+def test_near_miss(detector, thresholds, text):
+    assert chosen(detector.score_all([text])[0], thresholds) == []
 
 
 def test_redaction():
@@ -71,17 +78,32 @@ def test_held_out(detector):
     x = np.array([features(t, a, b, k, detector.lexicon) for t, a, b, k, _ in rows], np.float32)
     y, kind = np.array([r[4] for r in rows]), np.array([r[3] for r in rows])
     p = detector.trees.probability(x)
-    right = (p >= np.array(detector.thresholds)[kind]) == y
+    right = (p >= 0.5) == y
     assert right[kind != 0].mean() > 0.95
 
 
+def test_prior_shift():
+    """Scores calibrated at one share of true rows are corrected where the share is another."""
+    rng = np.random.default_rng(3)
+    n = 20_000
+    y = rng.random(n) < 0.05
+    x = rng.normal(np.where(y, 1.5, -1.5), 1.0)
+    steps = np.bincount(np.round(1000 / (1 + np.exp(-3 * x))).astype(int), minlength=1001)  # the right score at a share of a half
+    q = prior_shift(steps, 0.5)
+    assert abs((steps * q).sum() / n - 0.05) < 0.005
+    at = best_expected(steps, q)
+    taken = 1 / (1 + np.exp(-3 * x)) >= at
+    f1 = 2 * (taken & y).sum() / (taken.sum() + y.sum())
+    assert f1 > 2 * ((x > 0) & y).sum() / ((x > 0).sum() + y.sum()) + 0.02
+    assert thresholds_of({}, [0.5] * 5) == [0.5] * 5
+
+
 def test_trees():
     rng = np.random.default_rng(1)
     x = rng.random((2000, 4))
     y = (x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)
     m = BoostedTrees(40, 3).fit(x[:1500], y[:1500]).calibrate(x[1500:], y[1500:])
     assert ((m.probability(x[1500:]) > 0.5) == y[1500:]).mean() > 0.95
-    assert best_threshold(np.array([0.9, 0.8, 0.2]), np.array([1, 1, 0])) == pytest.approx(0.5)
 
 
 def test_lexicon_of_all_rows(spark):
@@ -92,7 +114,7 @@ def test_lexicon_of_all_rows(spark):
     rare = spark.createDataFrame([("Zorvena Lee.",), ("ask Zorvena Cole.",), ("see Ann Quillmoor",), ("see Bert Quillmoor",), ("Mme Lee",), ("Mme Cole",)] + [("Ann Ostrava, zorvena lee, Zorvena Lee",)] * 20 + [(None,), ("",)], "text string")
     lex = learn_lexicon(word_counts(filler.unionByName(rare)), {"Ann", "Bert"}, {"Lee", "Cole"})
     assert lex.given == {"ann", "bert", "zorvena"} and lex.family == {"lee", "cole", "quillmoor"}
-    assert lex.common["kept"] == 40_000 and lex.common["zorvena"] == 20
+    assert lex.common["kept"] == lex.common["note"] > 3e5 and lex.common["zorvena"] == pytest.approx(lex.common["kept"] / 2000)
 
 
 def test_plan_counts_facts(spark, tmp_path):
