@@ -65,9 +65,10 @@ _IP = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}(?:/\d+)?")
 _AT_SIGN = re.compile(r"[@＠]|[\[({<] ?(?:at|arroba|chez) ?[\])}>]", re.I)
 # Where a street may be; the pattern is tried around these only
 _STREET_WORDS = "c/ street st. road rd. avenue ave drive lane row terrace crescent court close way square place hill gate grove gardens mews walk parade boulevard wharf green rise view quay rue bd quai impasse chemin allée allee cours passage route sentier calle paseo plaza avenida camino ronda carrer via viale corso piazza vicolo largo rua travessa estrada praça praca alameda ул. улица проспект пр. переулок straße strasse str. weg gasse platz ufer ring damm deich steig straat laan gracht kade plein dijk singel".split() + ["am ", "an der ", "an den ", "auf dem ", "auf der ", "markt", "hinter dem ", "hinter der ", "im ", "in der ", "in den ", "unter den ", "unter der ", "zum ", "zur ", "vor dem ", "op de ", "aan de ", "achter de "]
+_ENDINGS = frozenset("straße strasse str. weg gasse platz ufer ring damm deich steig straat laan gracht kade plein dijk singel allee".split())
 _STREETS = ahocorasick.Automaton()
 for _w in _STREET_WORDS:
-    _STREETS.add_word(_w, len(_w))
+    _STREETS.add_word(_w, (len(_w), _w in _ENDINGS, _w[-1].isalpha()))
 _STREETS.make_automaton()
 # beside the type word, the words of a street's name are capitalised or all alike lower; the classifier judges that
 _REST = rf"(?:['’]{_UP})?[{_A}]+(?:-[{_A}]{{2,}})*"
@@ -181,9 +182,18 @@ def windows(places: Iterator[tuple[int, int]], n: int, left: int, right: int) ->
         yield at, end
 
 
+def _street_places(t: str, low: str) -> Iterator[tuple[int, int]]:
+    """Where a word for streets stands as a word (or as the end of one) near a digit."""
+    for end, (n, ending, letters) in _STREETS.iter(low):
+        a, b = end + 1 - n, end + 1
+        if letters and low[b : b + 1].isalpha() or not ending and a and low[a - 1].isalpha():
+            continue
+        if _ANY_DIGIT.search(t, max(0, a - 44), b + 44):
+            yield a, b
+
+
 def street_spans(t: str, low: str) -> Iterator[tuple[int, int]]:
-    places = ((end + 1 - n, end + 1) for end, n in _STREETS.iter(low) if _ANY_DIGIT.search(t, max(0, end - 44), end + 44))
-    for a, b in windows(places, len(t), 64, 64):
+    for a, b in windows(_street_places(t, low), len(t), 64, 64):
         for m in STREET.finditer(t, a, b):
             yield m.span()
 

@@ -49,16 +49,30 @@ def test_empty(spark):
 
 def test_allotment():
     rng = random.Random(9)
-    for _ in range(100):
-        costs = [(i, float(rng.randrange(1, 50)), float(rng.randrange(50, 99)) if rng.random() < 0.7 else np.inf) for i in range(rng.randrange(1, 7))]
+    for _ in range(200):
+        costs = [(i, np.cumsum([rng.randrange(1, 50) for _ in range(rng.randrange(1, 4))]).tolist()) for i in range(rng.randrange(1, 6))]
         need = rng.randrange(1, 10)
-        best = min((sum(c for c, _ in x) for x in itertools.product(*[[(0, 0), (a, 1), (b, 2)] for _, a, b in costs]) if sum(u for _, u in x) >= need), default=np.inf)
+        choices = itertools.product(*[[(0, 0), *((c, u) for u, c in enumerate(cs, 1))] for _, cs in costs])
+        best = min((sum(c for c, _ in x) for x in choices if sum(u for _, u in x) >= need), default=np.inf)
         got = allot(need, costs)
-        cost = np.inf if got is None else sum(costs[p][u] for p, u in got.items())
-        assert cost == best
+        assert (np.inf if got is None else sum(dict(costs)[p][u - 1] for p, u in got.items())) == best
         assert got is None or sum(got.values()) >= need
 
 
+def test_words_one_by_one(spark):
+    """Records whose words lie in too few partitions, and words that many have: nothing is lost."""
+    rows = [(f"s{i:03}", "k", f"common usual x{i % 7}", "", "") for i in range(200)] + [(f"t{i}", "k", "common usual", "", "") for i in range(3)]
+    pairs, member = near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    assert {tuple(r) for r in all_pairs(pairs, member).collect()} == brute(rows)
+
+
+def test_no_broadcast(spark):
+    """Whatever the sizes, no table is collected for a broadcast."""
+    pairs, member = near_duplicates(spark.createDataFrame(fixture(), SCHEMA))
+    for df in (all_pairs(pairs, member), classes_with_links(pairs, member)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_classes_are_neighbours():
     for n in range(1, 400):
         for m in range(-(-n * 6 // 10), n + 1):
