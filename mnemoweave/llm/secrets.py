@@ -125,22 +125,35 @@ def is_reference(v: str, quoted: bool) -> bool:
     return v.replace(".", "").replace("_", "").isdigit() and len(v) < 8
 
 
+#: Share of the reachable entropy that a value must have, what is added for short ones (over their length), and what the
+#: place takes off: none, a key that may name a credential, one that surely does.
+LEAST, SHORT, SHIFT = 0.72, 2.0, (0.0, 0.12, 0.36)
+
+
+def limit(length: int, strength: int) -> float:
+    """The entropy threshold, over what a random string of this length and alphabet reaches; the place only shifts it."""
+    return LEAST + SHORT / length - SHIFT[min(strength, 2)]
+
+
 def accepted(v: str, strength: int, quoted: bool) -> bool:
-    """Whether a value in a place of that strength is a credential. The threshold falls with strength and length."""
+    """Whether a value in a place of that strength is a credential: no reference, and its entropy above the threshold."""
     if is_reference(v, quoted):
         return False
+    spaced = re.search(r"\s", v)
+    if spaced and (strength < 2 or len(v.split()) > 2):
+        return False
     r = randomness(v)
-    if strength >= 2:
-        return r >= 0.4 and not (re.search(r"\s", v) and len(v.split()) > 2)
-    if re.search(r"\s", v):
+    if r < limit(len(v), strength):
         return False
+    if strength >= 2:
+        return True
     if strength == 1:
-        return len(v) >= 12 and r >= 0.6 + 1.5 / len(v) and (any(c.isdigit() for c in v) or r > 0.9)
+        return len(v) >= 12 and (any(c.isdigit() for c in v) or r > 0.9)
     # elsewhere: long, of several kinds of characters, no hash, no identifier
     if len(v) < 20 or _HEX.fullmatch(v) or _UUID.fullmatch(v) or "/" in v and re.search(r"\.\w{2,4}$", v):
         return False
     kinds = any(c.islower() for c in v) + any(c.isupper() for c in v) + any(c.isdigit() for c in v)
-    return kinds == 3 and r >= 0.72 + 2.0 / len(v) and re.fullmatch(r"[\w+/=.\-~]+", v) is not None and _DOTTED.fullmatch(v) is None
+    return kinds == 3 and re.fullmatch(r"[\w+/=.\-~]+", v) is not None and _DOTTED.fullmatch(v) is None
 
 
 def wordy(v: str) -> float:

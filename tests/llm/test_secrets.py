@@ -76,3 +76,14 @@ def test_found_without_cue(case):
 @pytest.mark.parametrize("text", NOWHERE)
 def test_near_miss_without_cue(text):
     test_near_miss(text)
+
+
+def test_entropy_decides():
+    """Without any word for credentials around, the entropy alone finds values; a place only shifts the threshold."""
+    from mnemoweave.llm.secrets import SHIFT, limit
+
+    for line in ('value = "Zk8Qw3rT9xLp2VbN7mHs4YdJ"', 'conn("Zk8Qw3rT9xLp2VbN7mHs4YdJcQ1e")'):
+        assert [line[a:b] for ((a, b), *_) in find_credentials(line)] == [line.split('"')[1]]
+    for line in ('x = "3f786850e387550fdab836ed7e6dc881de23001b"', 'id = "0a3f9c1e-16af-934b-d64b-2e836299b001"', 'password = "aaaaaaabaaaa"', 'name = "customer-report-monthly-final"'):
+        assert find_credentials(line) == []
+    assert [round(limit(20, 0) - limit(20, k), 9) for k in range(3)] == list(SHIFT) and limit(8, 0) > limit(40, 0)
