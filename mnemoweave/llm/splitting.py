@@ -8,8 +8,8 @@ Lengths are summed up to offsets by blocks, so no task holds an item. Cut k is s
 window compete. Two following cuts are ``stride + reach = limit - overlap`` bytes apart at most, so with its overlap no
 piece exceeds the limit. Nothing is done item by item in order: an item of any size is cut by all workers at once.
 
-Positions are UTF-8 bytes; each part is padded to whole tokens of four bytes, as its size is rounded up. Two tokens of
-the limit are kept for the rounding of the first and last fragment of a piece.
+Positions are UTF-8 bytes; each part is padded to whole tokens of four bytes, as its size is rounded up. Six bytes of
+the limit are kept for the rounding of the first and last fragment of a piece. Limits below ``LEAST_TOKENS`` are an error.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from mnemoweave.session import checkpointed
 
 #: Rows per block of the two-level sums.
 BLOCK = 65_536
-#: Bytes of a range: the largest, and the least however small the limits are.
+#: Bytes of a range: the largest, and the least unless windows are so small that every character's start is needed.
 RANGE, LEAST_RANGE = 256, 8
+#: The least limit: with its reserve for rounding it still holds any character.
+LEAST_TOKENS = 3
 
 # What ends a paragraph, a line, a sentence, a word. The next piece begins behind it.
 _ENDS = (
@@ -36,19 +38,20 @@ _ENDS = (
 )
 
 
-def best_boundary(text: bytes, low: int, high: int) -> tuple[int, int]:
+def best_boundary(text: bytes, low: int, high: int) -> tuple[int, int] | None:
     """(level, position) of the best place in ``low < position <= high`` to begin the next piece.
 
-    The strongest level wins, then the last place. Without any, the start of the last character (level 0).
+    The strongest level wins, then the last place. Without any, the start of the last character (level 0); None if no
+    character begins there.
     """
     for level, ends in _ENDS:
         at = max(i + len(e) if (i := text.rfind(e, max(0, low + 1 - len(e)), high)) >= 0 else -1 for e in ends)
         if at > low:
             return level, at
     at = high
-    while at > low + 1 and at < len(text) and text[at] & 0xC0 == 0x80:
+    while at > low and at < len(text) and text[at] & 0xC0 == 0x80:
         at -= 1
-    return 0, at
+    return (0, at) if at > low else None
 
 
 def boundary_tables(texts: DataFrame, size: int = RANGE) -> DataFrame:
@@ -64,7 +67,9 @@ def boundary_tables(texts: DataFrame, size: int = RANGE) -> DataFrame:
                 n = len(raw)
                 sizes.append(n)
                 lengths.append(-(-n // 4) * 4)
-                tables.append([level << 48 | at for lo in range(0, n, size) for level, at in (best_boundary(raw, lo, min(n, lo + size)),) if at < n])
+                found = (best_boundary(raw, lo, min(n, lo + size)) for lo in range(0, n, size))
+                # the text's own end counts where padding follows
+                tables.append([x[0] << 48 | x[1] for x in found if x and (x[1] < n or n % 4)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lengths, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tables, pa.list_(pa.int64()))], ["part_no", "__len", "__bytes", "__table"])
 
     return texts.select("part_no", "text").mapInArrow(run, f"part_no {kind}, __len long, __bytes long, __table array<long>")
@@ -107,16 +112,19 @@ def _measures(size_limits: DataFrame) -> DataFrame:
     """Per kind: the limit and the measures of its cuts. Kinds without a limit are left out."""
     limits = size_limits.where("max_tokens is not null").groupBy("item_kind").agg(F.min("max_tokens").alias("max_tokens"), F.coalesce(F.min("overlap_tokens"), F.lit(0)).alias("overlap_tokens"))
     # the overlap may be half of the limit at most, else pieces would hardly advance
-    room = F.greatest((F.col("max_tokens") - 2) * 4, F.lit(8))
-    over = F.least(F.col("overlap_tokens") * 4, F.floor(room / 8) * 4)
+    least = F.when(F.col("max_tokens") >= LEAST_TOKENS, F.col("max_tokens")).otherwise(F.raise_error(F.concat(F.lit(f"max_tokens must be {LEAST_TOKENS} at least: "), F.col("item_kind"))))
+    room = least.cast("long") * 4 - 6
+    over = F.least(F.greatest(F.col("overlap_tokens"), F.lit(0)) * 4, F.floor(room / 8) * 4)
     out = limits.withColumn("__over", over.cast("long")).withColumn("__step", (room - over).cast("long"))
     return out.withColumn("__reach", F.greatest(F.floor(F.col("__step") / 4), F.lit(4)).cast("long")).withColumn("__stride", F.col("__step") - F.col("__reach")).drop("overlap_tokens")
 
 
 def range_size(size_limits: DataFrame) -> int:
-    """Bytes per range such that the smallest window holds several. The limits' table has one row per kind."""
+    """Bytes per range such that the smallest window holds a whole one, so that none is without an entry. The limits' table has
+    one row per kind."""
     least = _measures(size_limits).agg(F.min("__reach")).first()[0]
-    return max(LEAST_RANGE, min(RANGE, (least or RANGE) // 8))
+    least = least or RANGE
+    return max(LEAST_RANGE, min(RANGE, least // 8)) if least >= 2 * LEAST_RANGE else 1
 
 
 def _cut_points(parts: DataFrame) -> DataFrame:
@@ -128,7 +136,7 @@ def _cut_points(parts: DataFrame) -> DataFrame:
     high = F.least(F.col("k") * F.col("__stride"), end)
     place = F.pow(F.lit(2), F.lit(48)).cast("long")
     inside = F.array_max(F.transform(F.filter("__table", lambda x: (x % place + off > low) & (x % place + off <= high)), lambda x: F.struct(F.floor(x / place).cast("int").alias("level"), (x % place + off).alias("cut"))))
-    # the part's own end is the strongest boundary; a window that no range's entry falls into is cut hard
+    # the part's own end is the strongest boundary; each range has an entry, so every window has one
     found = F.when(end <= F.col("k") * F.col("__stride"), F.struct(F.lit(5).alias("level"), end.alias("cut"))).otherwise(inside)
     return (
         parts.where(F.col("__len") > 0)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from mnemoweave.llm.splitting import best_boundary, boundary_tables, message_items, range_size, split_texts
 
 LIMITS = "item_kind string, max_tokens int, overlap_tokens int"
@@ -81,3 +83,35 @@ def test_found_at_natural_places(spark):
     check(out, texts, 1000, 80)
     # inside a word only where there is nothing but one
     assert not any(c in " \t\n" for r in out if r["level"] == 0 for c in r["text"][-100:])
+
+
+def test_small_limits(spark):
+    """Whatever the limit and overlap: no piece above the limit, neighbours meet, and the pieces give the item again."""
+    rng = random.Random(8)
+    signs = ["a", "b", " ", "\n", ". ", "é", "日", "🙂", "\n\n"]
+    texts = [(0, "one", "x" * 400), (1, "two", "🙂" * 90), (2, "mix", "".join(rng.choice(signs) for _ in range(300)))]
+    texts += [(3 + i, "many", "".join(rng.choice(signs) for _ in range(rng.randrange(0, 40)))) for i in range(30)]
+    df = spark.createDataFrame(texts, "part_no long, item_id string, text string")
+    kinds = [(f"{n}/{o}", n, o) for n in range(3, 65) for o in (0, 1, 7, 63)]
+    limits = spark.createDataFrame(kinds, LIMITS)
+    items = boundary_tables(df, range_size(limits)).join(df.drop("text"), "part_no").crossJoin(limits.select("item_kind"))
+    got: dict[tuple, list] = {}
+    for r in split_texts(items, df, limits).collect():
+        got.setdefault((r["item_kind"], r["item_id"]), []).append(r)
+    assert len(got) == 4 * len(kinds)
+    for (kind, item), ps in got.items():
+        whole, at = "".join(t for _, i, t in texts if i == item), 0
+        for p in sorted(ps, key=lambda p: p["piece_no"]):
+            assert p["n_tokens"] <= int(kind.split("/")[0])
+            t = p["text"]
+            start = next((s for s in range(at, max(-1, at - len(t) - 1), -1) if whole.startswith(t, s)), None)
+            assert start is not None, (kind, item, p)
+            at = start + len(t)
+        assert at == len(whole)
+
+
+def test_least_limit(spark):
+    df = spark.createDataFrame([(1, "x" * 40)], "part_no long, text string")
+    limits = spark.createDataFrame([("message", 2, 0)], LIMITS)
+    with pytest.raises(Exception, match="max_tokens must be 3"):
+        split_texts(message_items(boundary_tables(df, 8)), df, limits).collect()
