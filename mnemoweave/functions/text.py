@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import unicodedata
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,21 +32,48 @@ def single_line(c: Column) -> Column:
     return F.regexp_replace(strip(c), rf"{P.BLANKS}+", " ")
 
 
-def normalized(c: Column) -> Column:
-    """As :func:`single_line`, case folded. ``lower`` and the sharp s cover all but rare scripts; see :func:`casefolded`."""
-    return F.replace(F.lower(single_line(c)), F.lit("ß"), F.lit("ss"))
+def _folds() -> dict[str, str]:
+    """The letters whose full Unicode case folding isn't their lower case in every JVM, with their folding. By rule: folded
+    otherwise than in lower case, the sigma (whose lower case depends on its place), and letters younger than Unicode 3.2."""
+    old = unicodedata.ucd_3_2_0
+    out = {}
+    for i in range(0x110000):
+        c = chr(i)
+        f = c.casefold()
+        if f != c.lower() or c == "Σ" or (f != c and old.category(c) == "Cn"):
+            out[c] = f
+    return out
 
 
-@F.pandas_udf(StringType())
-def casefolded(s: pd.Series) -> pd.Series:
-    """Full Unicode case folding, in Python: for texts beyond Latin, Greek and Cyrillic."""
-    return pd.Series([x.casefold() if isinstance(x, str) else None for x in s], dtype=object)
+FOLDS = _folds()
+
+
+def _class_of(signs: Iterable[str]) -> str:
+    """A regular expression for one of the characters."""
+    runs: list[list[int]] = []
+    for i in sorted(map(ord, signs)):
+        if runs and i == runs[-1][1] + 1:
+            runs[-1][1] = i
+        else:
+            runs.append([i, i])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs) + "]"
 
 
-def normalized_full(c: Column) -> Column:
-    """Exact case folding: Python only for rows that hold letters where the fast way could differ."""
-    fast = normalized(c)
-    return F.when(c.rlike(r"\A[\x00-žА-я぀-鿿]*\z") & ~c.rlike("[İŉſ]"), fast).otherwise(casefolded(single_line(c)))
+_FOLDED_OTHERWISE = _class_of(FOLDS)
+
+
+def casefolded(c: Column) -> Column:
+    """Full Unicode case folding. Lower case where that is the same; else letter by letter, which only rows with one of
+    ``FOLDS`` pay for. All in the JVM."""
+    table = F.create_map(*[F.lit(x) for pair in FOLDS.items() for x in pair])
+    letters = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    slow = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(table, x), F.lower(x))), "")
+    return F.when(c.rlike(_FOLDED_OTHERWISE), slow).otherwise(F.lower(c))
+
+
+def normalized(c: Column) -> Column:
+    """As :func:`single_line`, case folded."""
+    return casefolded(single_line(c))
 
 
 def ellipsis(c: Column, n: int) -> Column:

@@ -92,6 +92,25 @@ def issues(claims: DataFrame, strict: bool = False) -> DataFrame:
     return out.withColumn("level", F.lit("error")) if strict else out
 
 
+def optional_issues(lines: DataFrame, column: str = "value") -> DataFrame:
+    """(the other columns, level, code): optional fields of the claims' own JSON whose type is wrong, which typed rows can't show.
+
+    A field that is absent or null breaks no rule. Lines that are no JSON object are left to :func:`line_format`.
+    """
+    v = F.try_parse_json(F.regexp_replace(F.col(column), "\\A\ufeff", ""))
+    kind = {k: F.schema_of_variant(F.try_variant_get(v, f"$.{k}", "variant")) for k in ("tags", "notes", "value")}
+    given = {k: F.coalesce(~t.isin("VOID"), F.lit(False)) for k, t in kind.items()}
+    text = F.try_variant_get(v, "$.value", "string")
+    rules = [
+        _issue("error", "schema.tags", given["tags"] & ~kind["tags"].isin("ARRAY<STRING>", "ARRAY<VOID>") | F.coalesce(F.exists(F.try_variant_get(v, "$.tags", "array<variant>"), F.is_variant_null), F.lit(False))),
+        _issue("error", "schema.notes", given["notes"] & (kind["notes"] != "STRING")),
+        _issue("error", "schema.value", given["value"] & ((kind["value"] != "STRING") | ~X.is_text(text))),
+    ]
+    rest = [c for c in lines.columns if c != column]
+    found = F.filter(F.array(*rules), lambda x: x.isNotNull())
+    return lines.select(*rest, F.explode(found).alias("__i")).select(*rest, "__i.level", "__i.code")
+
+
 def summary(claims: DataFrame, found: DataFrame) -> DataFrame:
     """Per file: parsed and valid claims, errors and warnings. A claim is valid if it has neither."""
     per = found.groupBy("seq", "file_no").agg(F.count_if(F.col("level") == "error").alias("e"), F.count_if(F.col("level") == "warning").alias("w"))
@@ -101,6 +120,11 @@ def summary(claims: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def line_summary(lines: DataFrame) -> DataFrame:
+    """Per path: lines in all and blank ones, of lines with ``format``."""
+    return lines.groupBy("path").agg(F.count("*").alias("lines_total"), F.count_if(F.col("format") == "blank").alias("lines_blank"))
+
+
 def gate(found: DataFrame) -> DataFrame:
     """Claims that may be merged nowhere: those with an error."""
     return found.where("level = 'error'").select("seq").distinct()
@@ -127,8 +151,12 @@ CLAIM_FIELDS = ("category", "fact", "stability", "status", "confidence", "time",
 
 
 def claim_id(claims: DataFrame) -> Column:
-    """Identity of a claim's content: all fields but its place. The struct's own order is fixed, so its JSON is canonical."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in CLAIM_FIELDS if c in claims.columns])), 256)
+    """Identity of a claim's content: the hash of its canonical JSON.
+
+    Claims read from lines have their text in ``raw``; of others it is made of all fields but their place, null ones left out.
+    """
+    raw = F.col("raw") if "raw" in claims.columns else F.to_json(F.struct(*[F.col(c) for c in CLAIM_FIELDS if c in claims.columns]))
+    return F.sha2(canonical_json(raw), 256)
 
 
 def fact_id(category: Column, fact: Column, value: Column) -> Column:
@@ -148,3 +176,21 @@ def secret_violations(claims: DataFrame) -> DataFrame:
     quotes = F.flatten(F.transform(F.coalesce("evidence", F.array().cast(claims.schema["evidence"].dataType)), lambda e: X.secret_hits(e["quote"], False)))
     hits = F.concat(X.secret_hits(F.col("fact"), False), X.secret_hits(F.col("notes"), False), quotes)
     return claims.select("seq", F.array_sort(F.array_distinct(hits)).alias("hits")).where("size(hits) > 0")
+
+
+def unmergeable(claims: DataFrame) -> DataFrame:
+    """(seq, reason) of claims that a merge refuses: secrets, or a required field that is missing.
+
+    Weaker than the rules: the confidence's range isn't looked at, and a time may lack its value.
+    """
+    missing = F.filter(
+        F.array(
+            *[F.when(~X.is_text(F.col(c)), F.lit(c)) for c in ("category", "fact")],
+            F.when(_not_in(F.col("stability"), STABILITIES), F.lit("stability")), F.when(F.col("confidence").isNull(), F.lit("confidence")),
+            F.when(_not_in(F.col("derived_from"), SOURCES), F.lit("derived_from")),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    fields = claims.select("seq", F.concat(F.lit("missing: "), F.array_join(missing, ", ")).alias("reason"), F.size(missing).alias("n")).where("n > 0").drop("n")
+    secrets = secret_violations(claims).select("seq", F.concat(F.lit("secret: "), F.array_join("hits", ", ")).alias("reason"))
+    return secrets.unionByName(fields)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mnemoweave.functions import text as X
-from mnemoweave.operators.claims import deduped, fact_id
+from mnemoweave.operators.claims import claim_id, deduped, fact_id
 
 #: Categories of which one fact holds at a time.
 LATEST_ONLY = ("identity.name", "identity.handle", "identity.role", "identity.company")
@@ -47,6 +47,56 @@ def facts(claims: DataFrame) -> DataFrame:
     return g.withColumn("normalized_fact_text", X.normalized(F.col("fact_text")))
 
 
+def merged(prior: DataFrame, claims: DataFrame, known: DataFrame | None = None, cutoff: DataFrame | None = None, imported_at: float | None = None) -> DataFrame:
+    """The facts of a store after more claims: `prior` (as :func:`facts` gives them) with the claims folded in, in order of seq.
+
+    Accepted and rejected facts stay so, whatever is claimed later; those up for review and superseded ones take the status
+    wanted, accepted once being accepted. A rejected fact whose decision (``cutoff``: fact_id, decided_at) is older than
+    `imported_at` goes to review with the first claim that the store doesn't have (``known``: claim_id); claims behind that one
+    may accept it. Times, confidence, text and stability as in a fresh store, the prior row being the first sighting.
+    Exclusive categories need :func:`fold_latest_only` on top.
+    """
+    c = claims.where(X.is_text(F.col("category")) & X.is_text(F.col("fact"))).withColumn("claim_id", claim_id(claims))
+    c = c.withColumn("fact_id", fact_id(F.col("category"), F.col("fact"), F.col("value"))).withColumn("wanted", wanted_status(F.col("status"), F.col("derived_from")))
+    if known is not None:
+        c = c.join(known.select("claim_id", F.lit(True).alias("__known")).distinct(), "claim_id", "left")
+    rows = c.select(
+        "fact_id", "seq", "category", X.strip(F.col("fact")).alias("text"), "stability", F.col("time.as_of_ts").alias("first_ts"), F.col("time.as_of_ts").alias("last_ts"),
+        F.when(F.isnan("confidence"), None).otherwise(F.col("confidence")).alias("conf"), F.lit(None).cast("string").alias("was"), "wanted",
+        (F.col("__known").isNull() if known is not None else F.lit(True)).alias("new"), F.lit(0).cast("long").alias("told"),
+    )
+    before = prior.select(
+        "fact_id", F.lit(None).cast("long").alias("seq"), "category", F.col("fact_text").alias("text"), "stability", F.col("first_seen_ts").alias("first_ts"), F.col("last_seen_ts").alias("last_ts"),
+        F.col("confidence_max").alias("conf"), F.col("status").alias("was"), F.lit(None).cast("string").alias("wanted"), F.lit(False).alias("new"),
+        (F.col("claims") if "claims" in prior.columns else F.lit(0)).cast("long").alias("told"),
+    )
+    order = F.coalesce("seq", F.lit(-(1 << 62)))  # the prior row comes first
+    claimed = F.col("seq").isNotNull()
+    g = before.unionByName(rows).withColumn("__o", order).groupBy("fact_id").agg(
+        F.min_by("category", "__o").alias("category"),
+        F.coalesce(
+            F.max_by("text", F.when(F.col("last_ts").isNotNull(), F.struct("last_ts", "__o"))),
+            F.min_by("text", F.when(X.is_text(F.col("text")), F.col("__o"))),
+        ).alias("fact_text"),
+        F.when(F.count_distinct("stability") > 1, "transient").otherwise(F.min_by("stability", "__o")).alias("stability"),
+        F.min("first_ts").alias("first_seen_ts"), F.max("last_ts").alias("last_seen_ts"), F.max("conf").alias("confidence_max"), F.max("was").alias("__was"),
+        F.coalesce(F.bool_or(F.col("wanted") == "accepted"), F.lit(False)).alias("__accepted"), F.max(F.when(F.col("wanted") == "accepted", F.col("seq"))).alias("__last_accepted"),
+        F.min(F.when(F.col("new") & claimed, F.col("seq"))).alias("__first_new"), F.count_if(claimed).alias("__n"), F.sum("told").alias("__told"),
+    )
+    again = F.lit(False)
+    if cutoff is not None and imported_at is not None:
+        g = g.join(cutoff.select("fact_id", F.col("decided_at").alias("__cut")), "fact_id", "left")
+        again = F.coalesce((F.col("__cut") < imported_at) & F.col("__first_new").isNotNull(), F.lit(False))
+    open_status = F.when(F.col("__accepted"), "accepted").otherwise("needs_review")
+    status = (
+        F.when((F.col("__was") == "rejected") & again, F.when(F.col("__last_accepted") > F.col("__first_new"), "accepted").otherwise("needs_review"))
+        .when(F.col("__was").isin("accepted", "rejected") | (F.col("__n") == 0), F.col("__was"))
+        .otherwise(open_status)
+    )
+    out = g.withColumn("status", status).withColumn("claims", F.col("__told") + F.col("__n")).withColumn("normalized_fact_text", X.normalized(F.col("fact_text")))
+    return out.select("fact_id", "category", "fact_text", "stability", "first_seen_ts", "last_seen_ts", "confidence_max", "status", "claims", "normalized_fact_text")
+
+
 def latest_only(store: DataFrame, categories: tuple[str, ...] = LATEST_ONLY) -> DataFrame:
     """store with the losers of exclusive categories superseded.
 
@@ -126,12 +176,14 @@ def stability_flags(claims: DataFrame) -> DataFrame:
 def conflicts(store: DataFrame, categories: tuple[str, ...] = LATEST_ONLY, least: float = 0.7) -> DataFrame:
     """(category, fact_id, rivals, first_rivals): every sure and stable active fact of a category that has several.
 
-    Only the five first rivals are named, by a map-side top five of each category."""
+    Only the five first rivals are named."""
     live = store.where(F.col("category").isin(*categories) & F.col("status").isin("accepted", "needs_review") & (F.col("stability") == "stable") & (F.col("confidence_max") >= least))
     # two steps: a hot category is split by a hash of its facts, the best five of each part compete
     order = F.struct((-F.col("confidence_max")).alias("a"), (-F.coalesce("last_seen_ts", F.lit(-1.0))).alias("b"), F.col("fact_id").alias("c"))
-    part = live.withColumn("__p", F.pmod(F.xxhash64("fact_id"), F.lit(64))).groupBy("category", "__p").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_list(order)), 1, 5).alias("top"))
-    per = part.groupBy("category").agg(F.sum("n").alias("rivals"), F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, 5).alias("top")).where("rivals > 1")
+    part = live.withColumn("__p", F.pmod(F.xxhash64("fact_id"), F.lit(64))).withColumn("__o", order)
+    five = part.withColumn("__r", F.row_number().over(Window.partitionBy("category", "__p").orderBy("__o"))).where("__r <= 5")
+    top = five.groupBy("category").agg(F.slice(F.array_sort(F.collect_list("__o")), 1, 5).alias("top"))  # 320 rows of a category at most
+    per = live.groupBy("category").agg(F.count("*").alias("rivals")).where("rivals > 1").join(top, "category")
     return live.join(F.broadcast(per), "category").select("category", "fact_id", "rivals", F.array_join(F.transform("top", lambda t: t["c"]), ",").alias("first_rivals"))
 
 
@@ -169,6 +221,54 @@ def decide(store: DataFrame, actions: DataFrame) -> tuple[DataFrame, DataFrame]:
     return store.join(last, "fact_id", "left").withColumn("status", F.coalesce("__new", "status")).select(*store.columns), audit
 
 
+def review_id(audit: DataFrame) -> Column:
+    """Identity of a decision in its place: the hash of its canonical JSON. Replaying a file's line gives the same one."""
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    key = F.struct(
+        F.col("action"), text("decided_by").alias("decided_by"), F.col("fact_id"), F.col("new_status"), text("reason").alias("reason"),
+        F.coalesce("source_line", F.lit(0)).alias("source_line"), F.col("source_path"),
+    )
+    return F.sha2(F.to_json(key, {"ignoreNullFields": "false"}), 256)
+
+
+def flag_id(fact: Column, flag_type: str, detail: str) -> Column:
+    """Identity of a flag: of each fact, kind and what it was raised for there is one."""
+    return F.sha2(F.concat_ws("\n", fact, F.lit(flag_type), F.lit(detail)), 256)
+
+
+def new_reviews(audit: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """The audit's rows with ``review_id``, the first of each; those that the store has are left out, so their time stays."""
+    rest = F.struct(*audit.columns)
+    out = audit.withColumn("review_id", review_id(audit)).groupBy("review_id").agg(F.min_by(rest, "seq").alias("r")).select("review_id", "r.*")
+    return out if stored is None else out.join(stored.select("review_id"), "review_id", "left_anti")
+
+
+def given_decisions(actions: DataFrame, accept: tuple[str, ...] = (), reject: tuple[str, ...] = (), needs_review: tuple[str, ...] = ()) -> DataFrame:
+    """actions (seq, fact_id, action, ...) with decisions given by hand behind them, in this order: accept, reject, needs_review."""
+    by_hand = [(f, a) for a, ids in (("accept", accept), ("reject", reject), ("needs_review", needs_review)) for f in ids]
+    if not by_hand:
+        return actions
+    spark = actions.sparkSession
+    last = actions.agg(F.coalesce(F.max("seq"), F.lit(0)).alias("__last"))
+    rows = spark.createDataFrame([(i + 1, f, a) for i, (f, a) in enumerate(by_hand)], "n long, fact_id string, action string")
+    more = rows.crossJoin(F.broadcast(last)).select((F.col("__last") + F.col("n")).alias("seq"), "fact_id", "action")  # one row of the last
+    return actions.unionByName(more, allowMissingColumns=True)
+
+
+def mismatches(actions: DataFrame, store: DataFrame, strict: bool = False) -> DataFrame:
+    """(seq, fact_id, field, said, stored): actions that name a category or a text other than the store's; null names nothing.
+
+    With `strict` the first of them is an error.
+    """
+    named = [c for c in ("category", "fact_text") if c in actions.columns]
+    both = actions.select("seq", "fact_id", *[F.col(c).alias(f"__{c}") for c in named]).join(store.select("fact_id", *named), "fact_id")
+    each = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"__{c}").alias("said"), F.col(c).alias("stored")) for c in named])
+    out = both.select("seq", "fact_id", F.explode(each).alias("m")).select("seq", "fact_id", "m.*").where("said is not null and not (said <=> stored)")
+    if strict and (r := out.orderBy("seq", "field").first()) is not None:
+        raise ValueError(f"action {r['seq']} on {r['fact_id']}: {r['field']} is not the store's")
+    return out
+
+
 def cutoffs(audit: DataFrame, at: str = "decided_at") -> DataFrame:
     """Per fact the last time it was accepted or rejected."""
     return audit.where(F.col("new_status").isin("accepted", "rejected")).groupBy("fact_id").agg(F.max(at).alias(at))

@@ -58,11 +58,13 @@ def spread(df: DataFrame) -> DataFrame:
 def checkpointed(df: DataFrame, eager: bool = True) -> DataFrame:
     """df with its lineage cut through reliable files in ``spark.checkpoint.dir``.
 
-    The folder named by the cluster is used as it is; only where none is set (local runs, tests) a
-    temporary one is made. Files are shared, so the loss of an executor loses nothing.
+    The folder named by the cluster is used as it is; where none is set, a temporary one is made in local runs and tests,
+    and it is an error on a cluster. Files are shared, so the loss of an executor loses nothing.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), f"mnemoweave-{uuid.uuid4().hex}"))
     return df.checkpoint(eager)

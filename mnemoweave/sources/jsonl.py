@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -23,10 +23,43 @@ MESSAGE = "conv_id string, title string, ts double, role string, message_id stri
 def numbered_lines(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """(path, line_no, value): the lines of text files with their places; line_no is from 1 in each file.
 
-    A file is one task here, since only its reader knows the places; giant ones should come with a number in the row.
+    Files are read in ranges by many tasks: lines are counted per range, and the ranges before one are summed up. A carriage
+    return at a line's end is no part of it. An empty file has no line.
     """
-    df = spark.read.text(path, wholetext=True, pathGlobFilter=pattern).select(F.col("_metadata.file_path").alias("path"), F.split(F.regexp_replace("value", r"\r?\n\z", ""), r"\r?\n", -1).alias("__l"))
-    return df.select("path", F.posexplode("__l").alias("line_no", "value")).withColumn("line_no", F.col("line_no") + 1)
+    lines = spark.read.text(path, pathGlobFilter=pattern, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("__start"), F.monotonically_increasing_id().alias("__id"), "value"
+    )
+    ranges = lines.groupBy("path", "__start").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    ahead = Window.partitionBy("path").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    places = ranges.withColumn("__base", F.coalesce(F.sum("__n").over(ahead), F.lit(0))).drop("__n")
+    # a range's lines follow one another in its task, so the ids are its line numbers but for a constant
+    return lines.join(places, ["path", "__start"]).select(
+        "path", (F.col("__base") + F.col("__id") - F.col("__first") + 1).alias("line_no"), F.regexp_replace("value", r"\r\z", "").alias("value")
+    )
+
+
+#: Names of an export's file, the first that is there counts.
+DEFAULT_INPUTS = ("conversations.json", "shared_conversations.json")
+
+
+def default_input(spark: SparkSession, folder: str, names: tuple[str, ...] = DEFAULT_INPUTS) -> str:
+    """The export in a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        at = path(f"{folder.rstrip('/')}/{name}")
+        if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+            return f"{folder.rstrip('/')}/{name}"
+    raise FileNotFoundError(f"none of {', '.join(names)} in {folder}")
+
+
+def whole_texts(spark: SparkSession, path: str, stdin=None) -> DataFrame:  # noqa: ANN001
+    """(path, text) of files, a row each; ``-`` is the standard input. Bytes that are no UTF-8 become the replacement sign."""
+    if path == "-":
+        import sys
+
+        data = (stdin or sys.stdin.buffer).read()
+        return spark.createDataFrame([("-", data.decode("utf-8", "replace"))], "path string, text string")
+    return spark.read.format("binaryFile").load(path).select("path", F.expr("make_valid_utf8(cast(content AS string))").alias("text"))
 
 
 def messages(spark: SparkSession, path: str, skip_invalid: bool = False) -> DataFrame:
@@ -40,8 +73,6 @@ def messages(spark: SparkSession, path: str, skip_invalid: bool = False) -> Data
     value = F.when(good, F.from_json("value", MESSAGE)).otherwise(F.raise_error(F.concat(F.lit("no JSON object: "), F.col("path"), F.lit(":"), F.col("line_no").cast("string"))))
     # files in order of their names: each has 2^32 numbers
     files = lines.select("path").distinct()
-    from pyspark.sql import Window
-
     place = files.select("path", ((F.row_number().over(Window.orderBy("path")) - 1) * (1 << 32)).alias("__base"))  # a row per file
     return rows.withColumn("m", value).join(F.broadcast(place), "path").select((F.col("__base") + F.col("line_no")).alias("seq"), "m.*", F.col("value").alias("raw"))
 
@@ -52,11 +83,28 @@ def claim_lines(spark: SparkSession, run_dir: str) -> DataFrame:
     return line_format(lines).withColumn("chunk_id", chunk_id_of(F.col("path")))
 
 
+CLAIM = (
+    "category string, fact string, stability string, status string, confidence double, time struct<as_of_ts:double>, "
+    "evidence array<struct<role:string,quote:string,conv_id:string,message_id:string,ts:double>>, derived_from string, value string, tags array<string>, notes string"
+)
+
+
+def claims(spark: SparkSession, run_dir: str) -> DataFrame:
+    """The claims of a run's files as rows (seq, file_no, chunk_id, fields, raw), for a merge: blank lines are passed over, any
+    other line that is no JSON object is an error. seq is in order of file and line."""
+    lines = claim_lines(spark, run_dir).where("format <> 'blank'")
+    wrong = F.raise_error(F.concat(F.col("format"), F.lit(" in "), F.col("path"), F.lit(":"), F.col("line_no").cast("string")))
+    parsed = lines.withColumn("c", F.when(F.col("format") == "ok", F.from_json("value", CLAIM)).otherwise(wrong))
+    place = lines.select("path").distinct().select("path", F.row_number().over(Window.orderBy("path")).alias("file_no"))  # a row per file
+    seq = F.col("file_no").cast("long") * (1 << 32) + F.col("line_no")
+    return parsed.join(place, "path").select(seq.alias("seq"), "file_no", "chunk_id", "c.*", F.col("value").alias("raw"))
+
+
 def review_actions(spark: SparkSession, path: str) -> DataFrame:
     """(seq, fact_id, action, reason, decided_by) of decisions; blank actions are left out, broken lines are an error."""
     lines = line_format(numbered_lines(spark, path)).where("format <> 'blank'")
     row = F.when(F.col("format") == "ok", F.from_json("value", "fact_id string, action string, reason string, decided_by string")).otherwise(F.raise_error(F.concat(F.lit("broken line "), F.col("line_no").cast("string"))))
-    out = lines.withColumn("r", row).select(F.col("line_no").alias("seq"), "r.*")
+    out = lines.withColumn("r", row).select(F.col("line_no").alias("seq"), "r.*", F.col("path").alias("source_path"), F.col("line_no").alias("source_line"))
     checked = F.when(X.is_text(F.col("fact_id")), F.col("fact_id")).otherwise(F.raise_error(F.concat(F.lit("no fact_id in line "), F.col("seq").cast("string"))))
     return out.withColumn("fact_id", checked).where(X.is_text(F.col("action")))
 

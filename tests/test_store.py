@@ -124,3 +124,89 @@ def test_normalized_is_the_identity(spark):
     df = spark.createDataFrame([("A  b", None), ("a B", " "), ("x", "A b")], "fact string, value string")
     ids = {r[0] for r in df.select(K.fact_id(F.lit("c"), F.col("fact"), F.col("value"))).collect()}
     assert len(ids) == 1 and X.normalized is not None
+
+
+def test_merged_equals_the_fold(spark):
+    """A store with decisions and more claims, claim by claim; among them those it has already."""
+    rng = random.Random(12)
+    times = [None, 1.0, 2.0, 3.0, 4.0]
+    made = lambda i: claim(
+        i, fact=rng.choice([f"F{k}" for k in range(14)]), stability=rng.choice(["stable"] * 5 + ["transient"]), status=rng.choice(["accepted", "needs_review"]),
+        confidence=round(rng.random(), 3), time=(rng.choice(times),), derived_from=rng.choice(["user", "assistant"]),
+    )
+    first = [made(i) for i in range(1, 40)]
+    df = spark.createDataFrame(first, SCHEMA)
+    prior = {r["fact_text"]: r.asDict() for r in S.facts(df).where("fact_text < 'F5' or fact_text > 'F8'").collect()}
+    for k, r in prior.items():
+        r["status"] = rng.choice(["accepted", "rejected", "rejected", "needs_review", "superseded"])
+        r["cut"] = rng.choice([None, 50.0, 150.0])
+    second = [(100 + r[0], *r[1:]) for r in first[:8]] + [made(i) for i in range(200, 240)]
+    known = {repr(r[1:]) for r in first}
+    want = {k: dict(r) for k, r in prior.items()}
+    for r in second:
+        text, stab, status, conf, (ts,), derived = r[4], r[5], r[6], r[7], r[8], r[10]
+        wanted = "needs_review" if derived == "assistant" else status
+        s = want.get(text)
+        new = repr(r[1:]) not in known
+        known.add(repr(r[1:]))
+        if s is None:
+            want[text] = {"stability": stab, "first_seen_ts": ts, "last_seen_ts": ts, "confidence_max": conf, "status": wanted, "cut": None}
+            continue
+        if s["status"] == "rejected":
+            if new and s["cut"] is not None and s["cut"] < 100.0:
+                s["status"] = "needs_review"
+        elif s["status"] != "accepted":
+            s["status"] = wanted
+        s["stability"] = stab if s["stability"] == stab else "transient"
+        if ts is not None:
+            s["first_seen_ts"] = ts if s["first_seen_ts"] is None else min(s["first_seen_ts"], ts)
+            s["last_seen_ts"] = ts if s["last_seen_ts"] is None else max(s["last_seen_ts"], ts)
+        s["confidence_max"] = max(s["confidence_max"], conf)
+    fields = ("fact_id", "category", "fact_text", "stability", "first_seen_ts", "last_seen_ts", "confidence_max", "status", "claims")
+    store = spark.createDataFrame([tuple(r[f] for f in fields) for r in prior.values()], "fact_id string, category string, fact_text string, stability string, first_seen_ts double, last_seen_ts double, confidence_max double, status string, claims long")
+    cut = spark.createDataFrame([(r["fact_id"], r["cut"]) for r in prior.values() if r["cut"]], "fact_id string, decided_at double")
+    got = S.merged(store, spark.createDataFrame(second, SCHEMA), S.deduped(df).select("claim_id"), cut, 100.0).collect()
+    keep = ("stability", "first_seen_ts", "last_seen_ts", "confidence_max", "status")
+    assert {r["fact_text"]: tuple(r[f] for f in keep) for r in got} == {k: tuple(r[f] for f in keep) for k, r in want.items()}
+
+
+def test_merged_text(spark):
+    prior = spark.createDataFrame([("x", "c", "Old", "stable", None, None, 0.5, "accepted", 1)], "fact_id string, category string, fact_text string, stability string, first_seen_ts double, last_seen_ts double, confidence_max double, status string, claims long")
+    fid = spark.createDataFrame([claim(1, category="c", fact="old")], SCHEMA).select(K.fact_id(F.col("category"), F.col("fact"), F.col("value"))).first()[0]
+    prior = prior.withColumn("fact_id", F.lit(fid))
+    for ts, text in ((None, "Old"), (3.0, "OLD")):
+        got = S.merged(prior, spark.createDataFrame([claim(1, category="c", fact=" OLD ", time=(ts,))], SCHEMA)).collect()
+        assert [(r["fact_text"], r["claims"]) for r in got] == [(text, 2)]
+
+
+def test_ids_are_those_of_canonical_json(spark):
+    import hashlib
+
+    raw = '{"fact": "é", "confidence": 1.0, "time": {"as_of_ts": 1753150644.0}, "category": "c"}'
+    want = hashlib.sha256(json.dumps(json.loads(raw), sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+    df = spark.createDataFrame([claim(1, fact="é", confidence=1.0, time=(1753150644.0,), category="c", **dict.fromkeys(("stability", "status", "evidence", "derived_from")))], SCHEMA)
+    assert df.select(K.claim_id(df)).first()[0] == want
+    lines = df.withColumn("raw", F.lit(raw))
+    assert lines.select(K.claim_id(lines)).first()[0] == want
+    audit = spark.createDataFrame([(1, "f", "accept", "accepted", None, "ä", "p", 3), (2, "f", "accept", "accepted", None, "ä", "p", 3)], "seq long, fact_id string, action string, new_status string, reason string, decided_by string, source_path string, source_line long")
+    key = {"fact_id": "f", "action": "accept", "new_status": "accepted", "reason": "", "decided_by": "ä", "source_path": "p", "source_line": 3}
+    rid = hashlib.sha256(json.dumps(key, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
+    assert [(r["review_id"], r["seq"]) for r in S.new_reviews(audit).collect()] == [(rid, 1)]
+    assert S.new_reviews(audit, S.new_reviews(audit)).count() == 0
+
+
+def test_given_decisions_and_mismatches(spark):
+    acts = spark.createDataFrame([(1, "a", "accept", "goals"), (2, "b", "reject", None), (3, "c", "reject", "x")], "seq long, fact_id string, action string, category string")
+    got = S.given_decisions(acts, ("p",), ("q", "r"), ("s",)).orderBy("seq").collect()
+    assert [(r["seq"], r["fact_id"], r["action"]) for r in got][3:] == [(4, "p", "accept"), (5, "q", "reject"), (6, "r", "reject"), (7, "s", "needs_review")]
+    store = spark.createDataFrame([("a", "goals"), ("b", "goals"), ("c", "goals")], "fact_id string, category string")
+    assert [tuple(r) for r in S.mismatches(acts, store).collect()] == [(3, "c", "category", "x", "goals")]
+    with pytest.raises(ValueError, match="action 3"):
+        S.mismatches(acts, store, strict=True)
+
+
+def test_optional_fields(spark):
+    lines = ['{"tags": ["a", "b"], "notes": "n", "value": "v"}', '{"tags": "a"}', '{"tags": ["a", 1]}', '{"tags": ["a", null]}', '{"tags": []}', '{"notes": 3}', '{"notes": null, "value": null}', '{"value": " "}', '{"value": {}}', "{", "", '{"tags": [null]}', '{"notes": {"a": 1}, "tags": {}}']
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    got = sorted((r["i"], r["code"]) for r in K.optional_issues(df).collect())
+    assert got == [(1, "schema.tags"), (2, "schema.tags"), (3, "schema.tags"), (5, "schema.notes"), (7, "schema.value"), (8, "schema.value"), (11, "schema.tags"), (12, "schema.notes"), (12, "schema.tags")]

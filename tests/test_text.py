@@ -99,7 +99,7 @@ def test_lengths(spark):
 
 def test_folding(spark):
     texts = [*TEXTS, "ſ long", "ŉ", "Ǆ", "ΣΑΣ ς", "ﬀ", "ẞ", "Ꭰ"]
-    for r in frame(spark, texts).select("i", X.normalized_full(F.col("text")).alias("t"), X.single_line(F.col("text")).alias("s")).collect():
+    for r in frame(spark, texts).select("i", X.normalized(F.col("text")).alias("t"), X.single_line(F.col("text")).alias("s")).collect():
         t = texts[r["i"]]
         assert r["t"] == (None if t is None else re.sub(r"\s+", " ", t.strip()).casefold())
         assert r["s"] == (None if t is None else re.sub(r"\s+", " ", t.strip()))
@@ -116,3 +116,11 @@ def test_scans(spark):
     got = [r[0] for r in df.orderBy("i").select(X.secret_hits(F.col("text"))).collect()]
     assert got == [["secret_kv_high_entropy"] * 2, [], [], ["authorization_bearer"], [], []]
     assert df.where("i = 0").select(X.secret_hits(F.col("text"), False)).first()[0] == ["secret_kv_high_entropy"]
+
+
+def test_casefold_is_exact(spark):
+    """Every letter, and words whose lower case depends on the place, against the definition."""
+    texts = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000 and (chr(i).casefold() != chr(i) or i < 0x250)]
+    texts += ["ΟΔΥΣΣΕΥΣ ΣΑΣ", "Straße ﬁne ŉ", "ᎠᎡ ꭰ", "İstanbul", "𐐀x", "µ ſ", "plain Text"]
+    got = frame(spark, texts).select("i", X.casefolded(F.col("text")).alias("t")).collect()
+    assert [r["t"] for r in sorted(got, key=lambda r: r["i"])] == [t.casefold() for t in texts]
