@@ -34,6 +34,7 @@ NAMES = {
 
 _TOKEN = re.compile(r"[ぁ-ヿ㐀-鿿ｦ-ﾟ々ー]|(?:(?![ぁ-ヿ㐀-鿿ｦ-ﾟ々ー])[^\W\d_])+")
 _CJK = re.compile(r"[ぁ-ヿ㐀-鿿]")
+_DIGIT = re.compile(r"\d")
 _LEAD = re.compile(r"[\s>*\-+•·#=|]*")
 _ENDS = re.compile(r"[.!?…]+[\"'»”’)\]]*(?=\s|$)|[。！？]+[」』)]*")
 _QUOTED = re.compile(r"\([^()\n]{1,40}\)|\"[^\"\n]{1,30}\"|[»«“„][^»«”“\n]{1,30}[«»”“]|`[^`\n]{1,60}`|<[^<>\n]{1,40}>|https?://\S+|\S+@\S+")
@@ -104,42 +105,58 @@ def grams(word: str) -> Iterator[tuple[int, list[str]]]:
 
 
 class Model:
-    """Scores of words and n-grams per language, as log frequency less the languages' mean, limited."""
+    """Scores of words and n-grams per language, as log frequency less the languages' mean, limited.
+
+    Each distinct word is scored once per worker; `at` gives its row in `scores` and `seen`.
+    """
+
+    #: Distinct words a worker remembers before it begins anew.
+    HELD = 200_000
 
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], ngrams: dict[str, np.ndarray]):
-        self.langs, self.words, self.ngrams, self.memo, self.known = langs, words, ngrams, {}, {}
+        self.langs, self.words, self.ngrams = langs, words, ngrams
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[str, int] = {}
+        self.scores, self.seen = np.zeros((1024, len(self.langs))), np.zeros(1024, np.int64)
 
     def __getstate__(self):
-        return {**self.__dict__, "memo": {}, "known": {}}
+        return {"langs": self.langs, "words": self.words, "ngrams": self.ngrams}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
 
     def word(self, w: str) -> np.ndarray:
         if (v := self.words.get(w)) is not None:
             return v
-        if (v := self.memo.get(w)) is None:
-            v = np.zeros(len(self.langs), np.float32)
-            for n, gs in grams(w):
-                hit = [self.ngrams[g] for g in gs if g in self.ngrams]
-                if len(hit) * 2 >= len(gs):
-                    v = np.mean(hit, 0) * BACKOFF * n / NGRAM
-                    break
-            if len(self.memo) > 200_000:
-                self.memo.clear()
-            self.memo[w] = v
-        return v
+        for n, gs in grams(w):
+            hit = [self.ngrams[g] for g in gs if g in self.ngrams]
+            if len(hit) * 2 >= len(gs):
+                return np.mean(hit, 0) * BACKOFF * n / NGRAM
+        return np.zeros(len(self.langs), np.float32)
 
     def knows(self, w: str) -> bool:
         """Whether the word or, of an unseen one, half of its n-grams of some length over one are in the tables."""
-        if w in self.words:
-            return True
-        if (v := self.known.get(w)) is None:
-            v = any(n > 1 and 2 * sum(g in self.ngrams for g in gs) >= len(gs) for n, gs in grams(w))
-            if len(self.known) > 200_000:
-                self.known.clear()
-            self.known[w] = v
-        return v
+        return w in self.words or any(n > 1 and 2 * sum(g in self.ngrams for g in gs) >= len(gs) for n, gs in grams(w))
+
+    def rows(self, ws: list[str]) -> np.ndarray:
+        """The words' rows in `scores` and `seen`."""
+        if len(self.at) > self.HELD:
+            self._forget()
+        at = self.at
+        for w in ws:
+            if w not in at:
+                i = at[w] = len(at)
+                if i == len(self.seen):
+                    self.scores, self.seen = np.concatenate((self.scores, np.zeros_like(self.scores))), np.concatenate((self.seen, np.zeros_like(self.seen)))
+                self.scores[i], self.seen[i] = self.word(w), self.knows(w)
+        return np.fromiter(map(at.__getitem__, ws), np.int64, len(ws))
 
     def score(self, ws: list[str]) -> np.ndarray:
-        return np.sum([self.word(w) for w in ws], 0) if ws else np.zeros(len(self.langs), np.float32)
+        rows = self.rows(ws)
+        return self.scores[rows].sum(0)
 
 
 def _table(counts: dict[str, Counter], langs: list[str], least: int) -> dict[str, np.ndarray]:
@@ -192,28 +209,33 @@ def judge(model: Model, text: str | None) -> list[tuple[int, int, str, float]]:
     """
     if not text or not text.strip():
         return []
-    units = []
+    spans, words = [], []
+    some_asian = _CJK.search(text)
     for a, b in sentences(text):
         ws = tokens(text[a:b])
-        asian = _CJK.search(text, a, b)
-        known = sum(model.knows(w) for w in ws)
-        digits = sum(c.isdigit() for c in text[a:b])
-        # figures and codes that end like sentences aren't any: they have few letters, or none of any language's n-grams
-        if len(ws) >= (6 if asian else 3) and (asian or known >= max(2, len(ws) // 4)) and sum(map(len, ws)) >= 2 * digits:
-            units.append((a, b, model.score(ws), len(ws)))
-    if not units:
+        asian = bool(some_asian and _CJK.search(text, a, b))
+        if len(ws) >= (6 if asian else 3) and sum(map(len, ws)) >= 2 * len(_DIGIT.findall(text, a, b)):
+            spans.append((a, b, asian))
+            words.append(ws)
+    if not spans:
+        return []
+    rows = model.rows([w for ws in words for w in ws])
+    begins = np.cumsum([0, *map(len, words[:-1])])
+    scores, known = np.add.reduceat(model.scores[rows], begins), np.add.reduceat(model.seen[rows], begins)
+    # figures and codes that end like sentences aren't any: they have few letters, or none of any language's n-grams
+    n = np.array([len(ws) for ws in words])
+    good = np.flatnonzero(np.array([asian for *_, asian in spans]) | (known >= np.maximum(2, n // 4)))
+    if not len(good):
         return []
-    votes = np.zeros(len(model.langs))
-    for *_, v, n in units:
-        votes[int(v.argmax())] += n
-    main = int(votes.argmax())
+    v, n = scores[good], n[good]
+    each, own = np.arange(len(v)), v.argmax(1)
+    main = int(np.bincount(own, n, len(model.langs)).argmax())
+    own = np.where(v[each, own] - v[:, main] < AHEAD, main, own)
+    e = np.exp(np.clip(v - v.max(1, keepdims=True), -60, 0))
+    sure = e[each, own] / e.sum(1)
     out: list[list] = []
-    for a, b, v, _ in units:
-        k = int(v.argmax())
-        if k != main and v[k] - v[main] < AHEAD:
-            k = main
-        e = np.exp(np.clip(v - v.max(), -60, 0))
-        p = float(e[k] / e.sum())
+    for i, k, p in zip(good.tolist(), own.tolist(), sure.tolist(), strict=True):
+        a, b, _ = spans[i]
         if out and out[-1][2] == k:
             out[-1][1] = b
             out[-1][3].append(p)
