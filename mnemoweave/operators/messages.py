@@ -106,7 +106,7 @@ def first_messages(messages: DataFrame, n: int) -> DataFrame:
 def first_conversations(messages: DataFrame, n: int) -> DataFrame:
     """All messages of the n conversations that begin first."""
     first = messages.groupBy("conv_id").agg(F.min("seq").alias("__first")).orderBy("__first").limit(n).select("conv_id")
-    return messages.join(F.broadcast(first), "conv_id", "left_semi")  # n rows
+    return messages.join(first, "conv_id", "left_semi")
 
 
 def export_stats(messages: DataFrame) -> DataFrame:

@@ -4,6 +4,23 @@
 WS = r"[\s\x0b\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def duck(pattern: str) -> str:
+    """A pattern in Java's syntax as one of DuckDB's; without look-around."""
+    return pattern.replace("(?U)", "").replace("(?Ui)", "(?i)").replace("'", "''")
+
+
+# signs of words in any script, which its own classes don't know
+_EDGE, _DIGIT = r"[^\p{L}\p{M}\p{Nd}\p{Pc}]", r"\p{Nd}"
+
+
+def phone_like(x: str) -> str:
+    return rf"regexp_matches({x}, '(^|{_EDGE})\+?{_DIGIT}[{_DIGIT} \-()]{{8,}}{_DIGIT}($|{_EDGE})')"
+
+
+def email_like(x: str) -> str:
+    return rf"regexp_matches({x}, '(?i)(^|{_EDGE})[A-Z0-9_][A-Z0-9._%+-]*@[A-Z0-9.-]+\.[A-Z]{{2,}}($|{_EDGE})')"
+
+
 def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
 

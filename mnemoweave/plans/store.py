@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mnemoweave.functions import patterns as P
 from mnemoweave.functions import text as X
 from mnemoweave.operators import chunking as C
 from mnemoweave.operators import claims as K
 from mnemoweave.operators import report as R
 from mnemoweave.operators import store as S
 from mnemoweave.operators.messages import with_defaults
-from mnemoweave.plans.dialect import STORE, is_text, normalized, strip
+from mnemoweave.plans.dialect import STORE, duck, email_like, is_text, normalized, phone_like, strip
 from mnemoweave.session import spread, table
 
 #: Budget of the queries' own packing: the largest message must fit.
@@ -37,7 +38,8 @@ def chunk_oversize_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations' runs that don't fit one chunk, and how many chunks they touch."""
     from mnemoweave.operators.messages import conversation_runs
 
-    m = _t(spark, sf_dir, "messages")
+    # two hundred messages in a row as one conversation, so that there are long ones
+    m = _t(spark, sf_dir, "messages").withColumn("conv_id", F.concat(F.lit("c"), F.floor(F.col("seq") / 200).cast("string")))
     a = C.chunk_assignment(m, BUDGET)
     runs = conversation_runs(m).select(F.col("run_no").cast("string").alias("chunk_id"), "first_seq", "last_seq")
     per = C.in_chunks(a, runs).groupBy("chunk_id").agg(F.sum("tokens").alias("tokens"), F.count_distinct("chunk_no").alias("chunks"))
@@ -101,8 +103,28 @@ def jsonl_scan_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.groupBy("format").agg(F.count("*").alias("lines"))
 
 
+def _broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims, some of them broken in fields that are whole in the table."""
+    c, seq = _claims(spark, sf_dir), F.col("seq")
+    return (
+        c.withColumn("category", F.when(seq % 97 == 5, F.lit(None)).when(seq % 97 == 6, " ").otherwise(F.col("category")))
+        .withColumn("fact", F.when(seq % 89 == 7, "\t").when(seq % 89 == 8, F.lit(None)).otherwise(F.col("fact")))
+        .withColumn("tags", F.when(seq % 83 == 3, F.array(F.lit("a"), F.lit(None))).otherwise(F.col("tags")))
+        .withColumn("value", F.when(seq % 79 == 4, " ").otherwise(F.col("value")))
+        .withColumn("notes", F.when(seq % 73 == 9, "password: abcdefghij0123456789klmn").otherwise(F.col("notes")))
+    )
+
+
 def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.issues(spread(_claims(spark, sf_dir)))
+    return K.issues(spread(_broken(spark, sf_dir)))
+
+
+def validate_optional_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Optional fields of the wrong type, which only the lines show."""
+    kind = F.col("seq") % 7
+    field = F.when(kind == 1, '"notes":3').when(kind == 2, '"notes":"x","tags":["a",2]').when(kind == 3, '"tags":"a","value":" "').when(kind == 4, '"notes":null,"tags":[]').when(kind == 5, '"value":{"a":1}')
+    line = F.concat(F.lit('{"fact":'), F.to_json(F.struct("fact")), F.lit(","), F.coalesce(field, F.lit('"value":"v"')), F.lit("}"))
+    return K.optional_issues(_claims(spark, sf_dir).select("seq", line.alias("value"))).select("seq", "code")
 
 
 def _issues_of(*codes: str):
@@ -117,11 +139,11 @@ def validate_safety(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.issues(_claims(spark, sf_dir), strict=True).groupBy("level").agg(F.count("*").alias("n"))
+    return K.issues(_broken(spark, sf_dir), strict=True).groupBy("level").agg(F.count("*").alias("n"))
 
 
 def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = spread(_claims(spark, sf_dir))
+    c = spread(_broken(spark, sf_dir))
     return K.summary(c, K.issues(c))
 
 
@@ -139,6 +161,11 @@ def merge_secret_refusal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.secret_violations(c).select("seq")
 
 
+def merge_required_recheck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Claims that a merge refuses for a missing field or a secret."""
+    return K.unmergeable(_broken(spark, sf_dir)).select("seq", F.split_part("reason", F.lit(":"), F.lit(1)).alias("why"))
+
+
 def canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _claims(spark, sf_dir).select("seq", K.canonical_json(F.concat(F.lit('{"b": '), F.col("seq").cast("string"), F.lit(', "a": [1.0, 2e3, "ü"]}'))).alias("j"))
 
@@ -238,9 +265,47 @@ def reopen_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def action_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot rows whose category isn't the store's."""
-    s = _t(spark, sf_dir, "fact_snapshots").select("fact_id", "snapshot_no", F.col("category").alias("said")).distinct()
-    return s.join(_t(spark, sf_dir, "facts").select("fact_id", "category"), "fact_id").where("not (said <=> category)").groupBy("fact_id").agg(F.count("*").alias("n"))
+    """Decisions that name the category a snapshot has, where the store has another."""
+    s = _t(spark, sf_dir, "fact_snapshots").select("fact_id", F.col("snapshot_no").alias("seq"), "category").distinct()
+    return S.mismatches(s, _t(spark, sf_dir, "facts").select("fact_id", "category")).groupBy("fact_id").agg(F.count("*").alias("n"))
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of all decisions, each as if it stood twice in its file's line."""
+    audit = S.decide(_t(spark, sf_dir, "facts"), _actions(spark, sf_dir))[1]
+    rows = audit.withColumn("action", F.col("new_status")).withColumn("reason", F.when(F.col("seq") == 1, "é")).withColumn("decided_by", F.lit(None).cast("string"))
+    rows = rows.withColumn("source_path", F.lit("a.jsonl")).withColumn("source_line", F.col("seq").cast("long"))
+    return rows.unionByName(rows.withColumn("seq", F.col("seq") + 2))
+
+
+def decision_review_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.new_reviews(_audit(spark, sf_dir)).select("review_id", "fact_id", "seq")
+
+
+def decisions_by_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions of a file, then those by hand: the least fact accepted and rejected, the greatest up for review."""
+    f = _t(spark, sf_dir, "facts")
+    low, high = f.agg(F.min("fact_id"), F.max("fact_id")).first()
+    actions = S.given_decisions(_actions(spark, sf_dir), (low,), (low,), (high,))
+    return S.decide(f, actions)[0].select("fact_id", "status")
+
+
+def flag_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.conflicts(_t(spark, sf_dir, "facts")).select("fact_id", S.flag_id(F.col("fact_id"), "exclusive_conflict", "0.7").alias("flag_id"))
+
+
+def merge_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store of the first half of the files, decided on by people, then merged with the second half."""
+    c = _claims(spark, sf_dir)
+    half = c.agg(F.expr("percentile_disc(0.5) within group (order by file_no)")).first()[0] or 0
+    first = c.where(F.coalesce("file_no", F.lit(0)) <= half)
+    prior = S.facts(first)
+    digit = F.substring("fact_id", 1, 1)
+    prior = prior.withColumn("status", F.when(digit < "3", "rejected").when(digit < "5", "superseded").when(digit < "7", "accepted").otherwise(F.col("status")))
+    cut = prior.where(F.substring("fact_id", 2, 1) < "8").select("fact_id", F.lit(1.0).alias("decided_at"))
+    known = S.deduped(first).select("claim_id")
+    out = S.merged(prior, c.where(F.coalesce("file_no", F.lit(0)) > half), known, cut, 2.0)
+    return out.select("fact_id", "category", "fact_text", "stability", "first_seen_ts", "last_seen_ts", "confidence_max", "status", "claims")
 
 
 # -- reports ------------------------------------------------------------------------------------------------------
@@ -321,7 +386,9 @@ def render_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def render_secret_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = R.fact_blocks(R.report_filter(_t(spark, sf_dir, "facts")), _t(spark, sf_dir, "evidence"))
+    # a key in the text of some facts
+    f = _t(spark, sf_dir, "facts").withColumn("fact_text", F.when(F.substring("fact_id", 1, 1) == "a", F.concat("fact_text", F.lit(" sk-abcdefghijklmn"))).otherwise(F.col("fact_text")))
+    blocks = R.fact_blocks(R.report_filter(f), _t(spark, sf_dir, "evidence"))
     return blocks.select("report", F.explode(X.secret_hits(F.col("block"), False)).alias("hit")).groupBy("report", "hit").agg(F.count("*").alias("n"))
 
 
@@ -329,12 +396,12 @@ def render_secret_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _done(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Progress by the claims; every fifth chunk's hash is an old one."""
-    d = R.progress(_claims(spark, sf_dir), _t(spark, sf_dir, "chunk_meta"))
+    """Progress by the claims; chunks whose number ends in 3 have none yet, every fifth one's hash is an old one."""
+    d = R.progress(_claims(spark, sf_dir).where("chunk_id not like '%3'"), _t(spark, sf_dir, "chunk_meta"))
     return d.withColumn("chunk_sha256", F.when(F.substring("chunk_id", -1, 1).isin("0", "5"), "old").otherwise(F.col("chunk_sha256")))
 
 
-_DONE = "d AS (SELECT c.chunk_id, CASE WHEN right(c.chunk_id, 1) IN ('0', '5') THEN 'old' ELSE coalesce(m.sha256, '') END sha, c.n FROM (SELECT chunk_id, count(*) n FROM claims WHERE chunk_id IS NOT NULL GROUP BY 1) c LEFT JOIN (SELECT chunk_id, max(sha256) sha256 FROM chunk_meta GROUP BY 1) m USING (chunk_id))"
+_DONE = "d AS (SELECT c.chunk_id, CASE WHEN right(c.chunk_id, 1) IN ('0', '5') THEN 'old' ELSE coalesce(m.sha256, '') END sha, c.n FROM (SELECT chunk_id, count(*) n FROM claims WHERE chunk_id NOT LIKE '%3' GROUP BY 1) c LEFT JOIN (SELECT chunk_id, max(sha256) sha256 FROM chunk_meta GROUP BY 1) m USING (chunk_id))"
 
 
 def chunk_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -359,7 +426,7 @@ def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _NAMES = (
     "chunk_assignment chunk_oversize_split chunk_budget_violations chunk_meta chunk_sha256 chunk_stats chunk_select render_prompts chunk_id_parse claim_line_format_gate jsonl_scan_permissive validate_safety validate_strict validation_summary validation_totals "
-    "validation_gate merge_secret_refusal canonical_json fact_id claims_dedupe merge_status_coercion facts_upsert facts_status latest_only_winner latest_only_fold evidence_dedupe fact_claim_links stability_change_flags exclusive_conflicts merge_stats action_to_status "
+    "validation_gate validate_optional_lines merge_secret_refusal merge_required_recheck merge_incremental decision_review_ids decisions_by_hand flag_ids canonical_json fact_id claims_dedupe merge_status_coercion facts_upsert facts_status latest_only_winner latest_only_fold evidence_dedupe fact_claim_links stability_change_flags exclusive_conflicts merge_stats action_to_status "
     "review_actions_parse apply_decisions decision_audit decision_cutoffs reopen_rejected action_mismatch flags_by_fact derived_from_rollup report_filter report_order facts_sorted top_evidence report_counts facts_by_status facts_by_stability review_queue review_counts "
     "review_worklist render_docs render_secret_gate chunk_progress progress_missing progress_next progress_stale run_status"
 ).split()
@@ -386,11 +453,40 @@ _ITEMS = {
 
 
 def _family_sql(codes: tuple[str, ...]) -> str:
-    parts = [f"SELECT seq, '{c}' AS code, 1 AS n FROM claims WHERE {_RULES[c]}" for c in codes if c in _RULES]
-    parts += [f"SELECT seq, '{c}' AS code, count(*) AS n FROM (SELECT seq, unnest(evidence) e FROM claims) WHERE e IS NOT NULL AND {_ITEMS[c]} GROUP BY seq" for c in codes if c in _ITEMS]
+    parts = [f"SELECT seq, '{c}' AS code, 1 AS n FROM bc WHERE {_RULES[c]}" for c in codes if c in _RULES]
+    parts += [f"SELECT seq, '{c}' AS code, count(*) AS n FROM (SELECT seq, unnest(evidence) e FROM bc) WHERE e IS NOT NULL AND {_ITEMS[c]} GROUP BY seq" for c in codes if c in _ITEMS]
+    return f"WITH {_BROKEN} " + " UNION ALL ".join(parts)
+
+
+_BEARER = r"(?i)\bAuthorization\s*:\s*Bearer\s+[A-Za-z0-9\-._~+/]+=*"
+_KV = f"len(list_filter(regexp_extract_all(t, '{duck(P.KEY_VALUE)}', 3), lambda v: NOT contains(v, '[REDACTED]') AND regexp_full_match(v, '[A-Za-z0-9+/_=-]{{20,}}')))"
+_BROKEN = """bc AS (SELECT * REPLACE (
+  CASE WHEN seq % 97 = 5 THEN NULL WHEN seq % 97 = 6 THEN ' ' ELSE category END AS category, CASE WHEN seq % 89 = 7 THEN chr(9) WHEN seq % 89 = 8 THEN NULL ELSE fact END AS fact,
+  CASE WHEN seq % 83 = 3 THEN ['a', NULL] ELSE tags END AS tags, CASE WHEN seq % 79 = 4 THEN ' ' ELSE value END AS value,
+  CASE WHEN seq % 73 = 9 THEN 'password: abcdefghij0123456789klmn' ELSE notes END AS notes) FROM claims)"""
+
+
+def _hits_sql(texts: str) -> str:
+    """(seq, file_no, level, code, n) of secrets and personal data in texts (seq, file_no, t)."""
+    secrets = [(n, f"regexp_matches(t, '{duck(p)}')") for n, p in P.SECRETS] + [("authorization_bearer", f"regexp_matches(t, '{_BEARER}')")]
+    parts = [f"SELECT seq, file_no, 'error' AS level, 'safety.{n}' AS code, 1 AS n FROM {texts} WHERE {w}" for n, w in secrets]
+    parts.append(f"SELECT seq, file_no, 'error', 'safety.secret_kv_high_entropy', {_KV} FROM {texts} WHERE {_KV} > 0")
+    parts += [f"SELECT seq, file_no, 'warning', 'privacy.{n}', 1 FROM {texts} WHERE {w}" for n, w in (("email", email_like("t")), ("phone_like", phone_like("t")))]
     return " UNION ALL ".join(parts)
 
 
+def _texts_sql(claims: str) -> str:
+    return f"SELECT seq, file_no, fact t FROM {claims} UNION ALL SELECT seq, file_no, notes FROM {claims} UNION ALL SELECT seq, file_no, e.quote FROM (SELECT seq, file_no, unnest(evidence) e FROM {claims}) WHERE e IS NOT NULL"
+
+
+def _issues_sql() -> str:
+    """CTEs: bc (claims), i (seq, file_no, level, code, n)."""
+    parts = [f"SELECT seq, file_no, 'error' AS level, '{c}' AS code, 1 AS n FROM bc WHERE {w}" for c, w in _RULES.items()]
+    parts += [f"SELECT seq, file_no, 'error', '{c}', 1 FROM (SELECT seq, file_no, unnest(evidence) e FROM bc) WHERE e IS NOT NULL AND {w}" for c, w in _ITEMS.items()]
+    return f"WITH {_BROKEN}, t AS ({_texts_sql('bc')}), i AS ({' UNION ALL '.join(parts)} UNION ALL {_hits_sql('t')})"
+
+
+_CLAIM_KEY = "CAST(row(category, fact, stability, status, confidence, time, evidence, derived_from, value, tags, notes) AS VARCHAR)"
 _INCH = "FROM messages m JOIN (SELECT DISTINCT chunk_id, first_seq, last_seq FROM chunk_meta) c ON m.seq BETWEEN c.first_seq AND c.last_seq"
 _META = f"""WITH m AS (
   SELECT chunk_id, seq, {_DEF.format('conv_id')} conv_id, {_DEF.format('message_id')} message_id, ts, CAST(ceil(coalesce(strlen(text), 0) / 4.0) AS BIGINT) tokens,
@@ -437,7 +533,42 @@ SELECT fact_id, CASE WHEN status IN ('accepted', 'needs_review') AND r > 1 THEN
     "decision_audit": f"WITH {_ACTIONS} SELECT seq, fact_id, coalesce(lag(st) OVER (PARTITION BY fact_id ORDER BY seq), was) AS previous_status, st AS new_status FROM a WHERE st IS NOT NULL",
     "decision_cutoffs": f"WITH {_ACTIONS} SELECT fact_id, max(seq) AS decided_at FROM a WHERE st IN ('accepted', 'rejected') GROUP BY 1",
     "reopen_rejected": f"WITH {_ACTIONS}, l AS (SELECT fact_id, arg_max(st, seq) st, max(seq) FILTER (st IN ('accepted', 'rejected')) cut FROM a WHERE st IS NOT NULL GROUP BY 1), s AS (SELECT fact_id, cut, coalesce(st, status) status FROM facts LEFT JOIN l USING (fact_id)) SELECT fact_id, CASE WHEN status = 'rejected' AND cut < 3 AND fact_id[3] < '8' THEN 'needs_review' ELSE status END AS status FROM s",
-    "action_mismatch": "SELECT fact_id, count(*) AS n FROM (SELECT DISTINCT fact_id, snapshot_no, category FROM fact_snapshots) s JOIN facts f USING (fact_id) WHERE s.category IS DISTINCT FROM f.category GROUP BY 1",
+    "action_mismatch": "SELECT fact_id, count(*) AS n FROM (SELECT DISTINCT fact_id, snapshot_no, category FROM fact_snapshots) s JOIN facts f USING (fact_id) WHERE s.category <> f.category OR (s.category IS NOT NULL AND f.category IS NULL) GROUP BY 1",
+    "decision_review_ids": f"""WITH {_ACTIONS}, r AS (SELECT seq, fact_id, sha256('{{"action":"' || st || '","decided_by":"","fact_id":"' || fact_id || '","new_status":"' || st || '","reason":"' || CASE WHEN seq = 1 THEN 'é' ELSE '' END || '","source_line":' || seq || ',"source_path":"a.jsonl"}}') review_id FROM a WHERE st IS NOT NULL)
+SELECT review_id, fact_id, seq FROM r""",
+    "decisions_by_hand": f"""WITH {_ACTIONS}, l AS (SELECT fact_id, arg_max(st, seq) st FROM a WHERE st IS NOT NULL GROUP BY 1)
+SELECT fact_id, CASE WHEN fact_id = (SELECT max(fact_id) FROM facts) THEN 'needs_review' WHEN fact_id = (SELECT min(fact_id) FROM facts) THEN 'rejected' ELSE coalesce(st, status) END AS status FROM facts LEFT JOIN l USING (fact_id)""",
+    "flag_ids": f"WITH {_FLAGS.format(0.7)} SELECT fact_id, sha256(fact_id || chr(10) || 'exclusive_conflict' || chr(10) || '0.7') AS flag_id FROM live WHERE n > 1",
+    "validate_safety": _issues_sql() + " SELECT level, code, sum(n) AS n FROM i WHERE code LIKE 'safety.%' OR code LIKE 'privacy.%' GROUP BY 1, 2",
+    "validate_strict": _issues_sql() + " SELECT 'error' AS level, sum(n) AS n FROM i",
+    "validation_summary": (_SUMMARY := _issues_sql() + """, p AS (SELECT seq, sum(n) FILTER (level = 'error') e, sum(n) FILTER (level = 'warning') w FROM i GROUP BY 1),
+s AS (SELECT bc.file_no, count(*) parsed, count(*) FILTER (p.seq IS NULL) valid, coalesce(sum(e), 0) errors, coalesce(sum(w), 0) warnings FROM bc LEFT JOIN p USING (seq) GROUP BY 1) """) + "SELECT * FROM s",
+    "validation_totals": _SUMMARY + "SELECT sum(parsed) AS parsed, sum(valid) AS valid, sum(errors) AS errors, sum(warnings) AS warnings FROM s",
+    "validation_gate": _issues_sql() + " SELECT DISTINCT seq FROM i WHERE level = 'error' AND code NOT LIKE 'safety.%'",
+    "validate_optional_lines": """SELECT seq, unnest(CASE seq % 7 WHEN 1 THEN ['schema.notes'] WHEN 2 THEN ['schema.tags'] WHEN 3 THEN ['schema.tags', 'schema.value'] WHEN 5 THEN ['schema.value'] END) AS code
+FROM claims WHERE fact IS NOT NULL AND seq % 7 IN (1, 2, 3, 5) UNION ALL SELECT seq, unnest(CASE seq % 7 WHEN 1 THEN ['schema.notes'] WHEN 2 THEN ['schema.tags'] WHEN 3 THEN ['schema.tags', 'schema.value'] WHEN 5 THEN ['schema.value'] END) FROM claims WHERE fact IS NULL AND seq % 7 IN (1, 2, 3, 5)""",
+    "merge_secret_refusal": f"WITH c AS (SELECT * REPLACE (CASE WHEN seq % 50 = 3 THEN 'token: abcdefghij0123456789klmn' ELSE notes END AS notes) FROM claims), t AS ({_texts_sql('c')}), i AS ({_hits_sql('t')}) SELECT DISTINCT seq FROM i WHERE level = 'error'",
+    "merge_required_recheck": f"WITH {_BROKEN}, t AS ({_texts_sql('bc')}), i AS ({_hits_sql('t')}) SELECT DISTINCT seq, 'secret' AS why FROM i WHERE level = 'error' UNION ALL SELECT seq, 'missing' FROM bc WHERE {_RULES['schema.category']} OR {_RULES['schema.fact']} OR {_RULES['schema.stability']} OR confidence IS NULL OR {_RULES['schema.derived_from']}",
+    "merge_incremental": f"""WITH h AS (SELECT quantile_disc(file_no, 0.5) half FROM claims), {STORE.replace('FROM claims WHERE', 'FROM claims, h WHERE coalesce(file_no, 0) <= half AND')},
+prior AS (SELECT * REPLACE (CASE WHEN fact_id[1] < '3' THEN 'rejected' WHEN fact_id[1] < '5' THEN 'superseded' WHEN fact_id[1] < '7' THEN 'accepted' ELSE status END AS status) FROM store),
+l AS (SELECT *, {_CLAIM_KEY} key, sha256(category || chr(10) || {normalized(f"CASE WHEN {is_text('value')} THEN value ELSE fact END")}) fact_id,
+  CASE WHEN derived_from = 'assistant' THEN 'needs_review' WHEN coalesce({strip('status')}, 'accepted') = 'needs_review' THEN 'needs_review' ELSE 'accepted' END wanted
+  FROM claims, h WHERE coalesce(file_no, 0) > half AND {is_text('category')} AND {is_text('fact')}),
+n AS (SELECT fact_id, arg_min(category, seq) category, arg_max({strip('fact')}, (time.as_of_ts, seq)) FILTER (time.as_of_ts IS NOT NULL) dated, max(time.as_of_ts) last_ts, min(time.as_of_ts) first_ts, arg_min({strip('fact')}, seq) undated,
+  list(DISTINCT stability) stabs, arg_min(stability, seq) stability, max(CASE WHEN isnan(confidence) THEN NULL ELSE confidence END) conf, bool_or(wanted = 'accepted') acc, max(seq) FILTER (wanted = 'accepted') last_acc,
+  min(seq) FILTER (key NOT IN (SELECT {_CLAIM_KEY} FROM claims, h WHERE coalesce(file_no, 0) <= half AND {is_text('category')} AND {is_text('fact')})) first_new, count(*) c FROM l GROUP BY 1)
+SELECT fact_id, coalesce(p.category, n.category) AS category,
+  CASE WHEN dated IS NOT NULL AND (p.last_seen_ts IS NULL OR n.last_ts >= p.last_seen_ts) THEN dated ELSE coalesce(p.fact_text, dated, undated) END AS fact_text,
+  CASE WHEN len(list_distinct(list_concat(coalesce(stabs, []), CASE WHEN p.stability IS NULL THEN [] ELSE [p.stability] END))) > 1 THEN 'transient' ELSE coalesce(p.stability, n.stability) END AS stability,
+  least(p.first_seen_ts, n.first_ts) AS first_seen_ts, greatest(p.last_seen_ts, n.last_ts) AS last_seen_ts, greatest(p.confidence_max, conf) AS confidence_max,
+  CASE WHEN p.status = 'rejected' AND first_new IS NOT NULL AND fact_id[2] < '8' THEN CASE WHEN last_acc > first_new THEN 'accepted' ELSE 'needs_review' END
+    WHEN p.status IN ('accepted', 'rejected') OR n.c IS NULL THEN p.status WHEN acc THEN 'accepted' ELSE 'needs_review' END AS status, coalesce(p.claims, 0) + coalesce(n.c, 0) AS claims
+FROM prior p FULL JOIN n USING (fact_id)""",
+    "render_secret_gate": "SELECT CASE split_part(category, '.', 1) WHEN category THEN 'misc' WHEN 'identity' THEN 'identity' WHEN 'preferences' THEN 'preferences' WHEN 'meta' THEN 'preferences' WHEN 'projects' THEN 'projects' WHEN 'goals' THEN 'goals' WHEN 'constraints' THEN 'constraints' ELSE 'misc' END AS report, 'openai_key' AS hit, count(*) AS n FROM facts WHERE status = 'accepted' AND fact_id[1] = 'a' AND fact_text IS NOT NULL GROUP BY 1",
+    "run_status": _issues_sql() + f""", {_DONE}, m AS (SELECT chunk_id, max(sha256) s FROM chunk_meta GROUP BY 1), x AS (
+SELECT 'chunks' AS item, count(DISTINCT chunk_id) AS n, true AS good FROM chunk_meta UNION ALL SELECT 'missing', count(*), NULL FROM m WHERE chunk_id NOT IN (SELECT chunk_id FROM d)
+UNION ALL SELECT 'stale', count(*), NULL FROM d JOIN m USING (chunk_id) WHERE sha <> '' AND sha <> s UNION ALL SELECT 'errors', sum(n), NULL FROM i WHERE level = 'error')
+SELECT item, CAST(n AS BIGINT) AS n, coalesce(good, n = 0) AS ok FROM x""",
     "flags_by_fact": f"WITH {_FLAGS.format(0.5)} SELECT fact_id, string_agg(DISTINCT flag_type, ',' ORDER BY flag_type) AS flags FROM flags GROUP BY 1",
     "derived_from_rollup": f"WITH {STORE}, {_LINK} SELECT fact_id, derived_from FROM derived",
     "report_filter": "SELECT fact_id FROM facts WHERE status = 'accepted' OR status NOT IN ('rejected', 'superseded')",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mnemoweave.functions import patterns as P
 from mnemoweave.functions import text as X
 from mnemoweave.operators import messages as M
-from mnemoweave.plans.dialect import normalized, single_line
+from mnemoweave.plans.dialect import WS, duck, normalized, phone_like, single_line
 from mnemoweave.session import spread, table
 
 
@@ -106,16 +106,11 @@ def empty_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _m(spark, sf_dir).where("coalesce(text, '') <> ''").select("seq")
 
 
-def extract_text_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contents of several kinds, made of every text: strings, a mix with objects, a kind without text."""
     return _extracted(_m(spark, sf_dir))
 
 
-def extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part of extract_text_all that SQL can follow: texts that are no JSON and need no escapes."""
-    return _extracted(_m(spark, sf_dir).where("text is not null and text not like '%\\\\%' and text not like '%\"%' and text not rlike '^\\\\s*[\\\\[{]'"))
-
-
 def _extracted(m: DataFrame) -> DataFrame:
     kind = F.element_at(F.array(F.lit("text"), F.lit("multimodal_text"), F.lit("code")), (F.col("seq") % 3 + 1).cast("int"))
     parts = F.array(F.lit("a"), F.lit('{"text":"b"}'), F.col("text"))
@@ -150,16 +145,12 @@ def redaction_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.explode("redactions").alias("rule", "n")).groupBy("rule").agg(F.sum("n").alias("n"))
 
 
-def _duck(p: str) -> str:
-    return p.replace("(?U)", "").replace("(?Ui)", "(?i)").replace("'", "''")
-
-
 def _redacted_sql() -> tuple[str, str]:
     """CTEs of the rules one after the other; DuckDB's expressions have no look-around, which these don't need."""
     ctes, counts, before = [], [], "(SELECT seq, text FROM messages)"
-    rules = [(n, _duck(p), r"\[REDACTED\]".replace("\\", "")) for n, p in P.SECRETS]
+    rules = [(n, duck(p), r"\[REDACTED\]".replace("\\", "")) for n, p in P.SECRETS]
     # the token is taken as a whole: texts where it stands in the header's words as well aren't in the tables
-    rules += [("authorization_bearer", r"(?i)\b(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9\-._~+/]+=*", r"\1[REDACTED]"), ("secret_kv", _duck(P.KEY_VALUE), r"\1\2[REDACTED]")]
+    rules += [("authorization_bearer", r"(?i)\b(Authorization\s*:\s*Bearer\s+)[A-Za-z0-9\-._~+/]+=*", r"\1[REDACTED]"), ("secret_kv", duck(P.KEY_VALUE), r"\1\2[REDACTED]")]
     for i, (name, p, to) in enumerate(rules):
         ctes.append(f"r{i} AS (SELECT seq, regexp_replace(text, '{p}', '{to}', 'g') text FROM {before})")
         n = f"len(list_filter(regexp_extract_all(text, '{p}', 3), lambda v: v <> '[REDACTED]'))" if name == "secret_kv" else f"len(regexp_extract_all(text, '{p}'))"
@@ -255,12 +246,12 @@ def conversation_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NAMES = (
-    "export_scan terminal_node active_branch_path messages_flat hidden_filter role_filter message_defaults role_resolution ts_coalesce conv_identity empty_text_filter extract_text extract_text_all export_stats limit_messages limit_conversations redact_text "
+    "export_scan terminal_node active_branch_path messages_flat hidden_filter role_filter message_defaults role_resolution ts_coalesce conv_identity empty_text_filter extract_text export_stats limit_messages limit_conversations redact_text "
     "redact_pii_off redaction_counts elide_code_blocks truncate_middle build_view view_stats scan_secrets scan_kv_entropy scan_pii scan_phone high_entropy token_count token_totals normalize_fact_text ellipsis_truncate fmt_ts fmt_confidence category_file_key content_ids conversation_runs"
 ).split()
 QUERIES = {n: globals()[n] for n in _NAMES} | {"single_line": single_line_q}
 
-_KV_VALUES = f"list_filter(regexp_extract_all(text, '{_duck(P.KEY_VALUE)}', 3), lambda v: NOT contains(v, '[REDACTED]') AND regexp_full_match(v, '[A-Za-z0-9+/_=-]{{20,}}'))"
+_KV_VALUES = f"list_filter(regexp_extract_all(text, '{duck(P.KEY_VALUE)}', 3), lambda v: NOT contains(v, '[REDACTED]') AND regexp_full_match(v, '[A-Za-z0-9+/_=-]{{20,}}'))"
 _DEF = "coalesce(nullif({0}, ''), 'unknown')"
 
 SQL = {
@@ -284,7 +275,7 @@ SQL = {
     "scan_kv_entropy": f"SELECT seq, len({_KV_VALUES}) AS n FROM messages WHERE len({_KV_VALUES}) > 0",
     # word boundaries by letters of any script, which its own aren't
     "scan_pii": r"SELECT seq FROM messages WHERE regexp_matches(text, '(?i)(^|[^\p{L}\p{N}_])[A-Z0-9_][A-Z0-9._%+-]*@[A-Z0-9.-]+\.[A-Z]{2,}($|[^\p{L}\p{N}_])')",
-    "scan_secrets": " UNION ALL ".join([f"SELECT seq, '{n}' AS hit FROM messages WHERE regexp_matches(text, '{_duck(p)}')" for n, p in P.SECRETS] + [f"SELECT seq, 'secret_kv_high_entropy' FROM messages WHERE len({_KV_VALUES}) > 0"] + [r"SELECT seq, 'authorization_bearer' FROM messages WHERE regexp_matches(text, '(?i)\bAuthorization\s*:\s*Bearer\s+[A-Za-z0-9\-._~+/]+=*')"]),
+    "scan_secrets": " UNION ALL ".join([f"SELECT seq, '{n}' AS hit FROM messages WHERE regexp_matches(text, '{duck(p)}')" for n, p in P.SECRETS] + [f"SELECT seq, 'secret_kv_high_entropy' FROM messages WHERE len({_KV_VALUES}) > 0"] + [r"SELECT seq, 'authorization_bearer' FROM messages WHERE regexp_matches(text, '(?i)\bAuthorization\s*:\s*Bearer\s+[A-Za-z0-9\-._~+/]+=*')"]),
     "high_entropy": "SELECT DISTINCT evidence_id, regexp_full_match(CASE WHEN length(quote) > 40 THEN quote_hash ELSE quote END, '[A-Za-z0-9+/_=-]{20,}') AS high FROM evidence",
     "token_count": "SELECT seq, CAST(ceil(coalesce(strlen(text), 0) / 4.0) AS BIGINT) AS tokens FROM messages",
     "token_totals": "SELECT CASE WHEN grouping(role) = 1 THEN 'TOTAL' ELSE role END AS role, sum(strlen(text)) AS bytes, sum(length(text)) AS chars, sum(CAST(ceil(coalesce(strlen(text), 0) / 4.0) AS BIGINT)) AS tokens FROM messages GROUP BY ROLLUP(role)",
@@ -296,6 +287,9 @@ SQL = {
     "category_file_key": "SELECT fact_id, CASE split_part(category, '.', 1) WHEN category THEN 'misc' WHEN 'identity' THEN 'identity' WHEN 'preferences' THEN 'preferences' WHEN 'meta' THEN 'preferences' WHEN 'projects' THEN 'projects' WHEN 'goals' THEN 'goals' WHEN 'constraints' THEN 'constraints' ELSE 'misc' END AS report FROM facts",
     "content_ids": "SELECT DISTINCT evidence_id, sha256(concat_ws(chr(10), fact_id, conv_id, message_id, role, quote_hash)) AS id, sha256(quote) AS hash FROM evidence",
     "conversation_runs": f"WITH m AS (SELECT seq, {_DEF.format('conv_id')} conv_id FROM messages), l AS (SELECT *, lag(conv_id) OVER (ORDER BY seq) p FROM m), r AS (SELECT *, sum(CASE WHEN p IS NULL OR p <> conv_id THEN 1 ELSE 0 END) OVER (ORDER BY seq ROWS UNBOUNDED PRECEDING) run_no FROM l) SELECT run_no, conv_id, min(seq) AS first_seq, max(seq) AS last_seq, count(*) AS messages FROM r GROUP BY 1, 2",
-    "extract_text": r"""SELECT seq, CASE seq % 3 WHEN 0 THEN regexp_replace('a' || chr(10) || text, '\s+$', '') WHEN 1 THEN regexp_replace('a' || chr(10) || 'b' || chr(10) || text, '\s+$', '') ELSE '' END AS text
-FROM messages WHERE text IS NOT NULL AND NOT contains(text, chr(92)) AND NOT contains(text, '"') AND NOT regexp_matches(text, '^\s*[\[{]')""",
+    # a text that is itself a JSON object or array counts as an object of the content
+    "extract_text": f"""WITH m AS (SELECT seq, text, coalesce(regexp_matches(text, '^\\s*[\\[{{]') AND json_valid(text), false) obj FROM messages)
+SELECT seq, CASE seq % 3 WHEN 0 THEN regexp_replace('a' || CASE WHEN obj OR text IS NULL THEN '' ELSE chr(10) || text END, '{WS}+$', '')
+  WHEN 1 THEN regexp_replace('a' || chr(10) || 'b' || coalesce(chr(10) || CASE WHEN obj THEN json_extract_string(text, '$.text') ELSE text END, ''), '{WS}+$', '') ELSE '' END AS text FROM m""",
+    "scan_phone": f"SELECT seq FROM messages WHERE {phone_like('text')}",
 }
