@@ -6,7 +6,8 @@ boundary it holds, so a text becomes a boundary table of some bytes per range, a
 Lengths are summed up to offsets by blocks, so no task holds an item. Cut k is sought in the window
 ``(k * stride - reach, k * stride]`` of the item, whatever the other cuts are: the entries of the stitched tables in that
 window compete. Two following cuts are ``stride + reach = limit - overlap`` bytes apart at most, so with its overlap no
-piece exceeds the limit. Nothing is done item by item in order: an item of any size is cut by all workers at once.
+piece exceeds the limit. Nothing is done item by item in order: an item of many parts is cut by all workers at once, and a
+single text above ``SLICE`` bytes is gone through in slices with halos by all of them.
 
 Positions are UTF-8 bytes; each part is padded to whole tokens of four bytes, as its size is rounded up. Six bytes of
 the limit are kept for the rounding of the first and last fragment of a piece. Limits below ``LEAST_TOKENS`` are an error.
@@ -26,6 +27,8 @@ from mnemoweave.session import checkpointed
 BLOCK = 65_536
 #: Bytes of a range: the largest, and the least unless windows are so small that every character's start is needed.
 RANGE, LEAST_RANGE = 256, 8
+#: Bytes from which a text is taken in slices, and those that a slice sees of the one before.
+SLICE, HALO = 4 << 20, 4
 #: The least limit: with its reserve for rounding it still holds any character.
 LEAST_TOKENS = 3
 
@@ -54,25 +57,59 @@ def best_boundary(text: bytes, low: int, high: int) -> tuple[int, int] | None:
     return (0, at) if at > low else None
 
 
-def boundary_tables(texts: DataFrame, size: int = RANGE) -> DataFrame:
+def slices(texts: DataFrame, size: int, before: int, after: int) -> DataFrame:
+    """(part_no, __n, __j, __data): the bytes of each text in slices of `size`, slice j from ``j * size - before`` to
+    ``(j + 1) * size + after``; __n is the text's length. Null and empty texts have none."""
+    b, n = F.col("text").cast("binary"), F.octet_length("text")
+    start = lambda j: F.greatest(j * size - before, F.lit(0))
+    cut = lambda j: F.struct(j.alias("j"), F.substring(b, start(j) + 1, (j + 1) * size + after - start(j)).alias("data"))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), cut)
+    return texts.where(n > 0).select("part_no", n.alias("__n"), F.explode(parts).alias("s")).select("part_no", "__n", F.col("s.j").alias("__j"), F.col("s.data").alias("__data"))
+
+
+def _entries(raw: bytes, first: int, last: int, skip: int, n: int, size: int) -> list[int]:
+    """The table's entries of the bytes `first` to `last` of a text of `n` bytes; `raw` begins `skip` bytes before `first`, and
+    goes on for a byte behind `last`."""
+    found = (best_boundary(raw, at - first + skip, min(last, at + size) - first + skip) for at in range(first, last, size))
+    places = ((x[0], x[1] - skip + first) for x in found if x)
+    # the text's own end counts where padding follows
+    return [level << 48 | at for level, at in places if at < n or n % 4]
+
+
+def boundary_tables(texts: DataFrame, size: int = RANGE, slice_bytes: int = SLICE) -> DataFrame:
     """(part_no, __len, __bytes, __table) of (part_no, text): per range of `size` bytes level and position, as
-    ``level << 48 | position``. Null and empty texts have length 0 and an empty table."""
+    ``level << 48 | position``. Null and empty texts have length 0 and an empty table.
+
+    Texts over `slice_bytes` are taken in slices with halos by all workers, and their tables are put together behind; the
+    entries are the same.
+    """
     kind = texts.schema["part_no"].dataType.simpleString()
+    whole = slice_bytes // size * size  # ranges begin where those of the whole text do
+    lasting = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lengths, sizes, tables = [], [], []
-            for t in b.column(1).to_pylist():
-                raw = t.encode("utf-8", "replace") if t else b""
-                n = len(raw)
-                sizes.append(n)
-                lengths.append(-(-n // 4) * 4)
-                found = (best_boundary(raw, lo, min(n, lo + size)) for lo in range(0, n, size))
-                # the text's own end counts where padding follows
-                tables.append([x[0] << 48 | x[1] for x in found if x and (x[1] < n or n % 4)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lengths, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tables, pa.list_(pa.int64()))], ["part_no", "__len", "__bytes", "__table"])
+            raws = [t.encode("utf-8", "replace") if t else b"" for t in b.column(1).to_pylist()]
+            tables = [_entries(r, 0, len(r), 0, len(r), size) for r in raws]
+            sizes = [len(r) for r in raws]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([-(-n // 4) * 4 for n in sizes], pa.int64()), pa.array(sizes, pa.int64()), pa.array(tables, lasting)], ["part_no", "__len", "__bytes", "__table"])
 
-    return texts.select("part_no", "text").mapInArrow(run, f"part_no {kind}, __len long, __bytes long, __table array<long>")
+    def run_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            tables = []
+            for n, j, raw in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
+                tables.append(_entries(raw, j * whole, min(n, (j + 1) * whole), min(HALO, j * whole), n, size))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(tables, lasting)], ["part_no", "__n", "__j", "__t"])
+
+    short = texts.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= whole)
+    done = short.select("part_no", "text").mapInArrow(run, f"part_no {kind}, __len long, __bytes long, __table array<long>")
+    cut = slices(texts.where(F.octet_length("text") > whole), whole, HALO, 1).repartition("part_no", "__j")
+    joined = (
+        cut.mapInArrow(run_slices, f"part_no {kind}, __n int, __j int, __t array<long>").groupBy("part_no", "__n")
+        .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("__j", "__t"))), lambda x: x["__t"])).alias("__table"))
+    )
+    n = F.col("__n").cast("long")
+    return done.unionByName(joined.select("part_no", (F.ceil(n / 4) * 4).alias("__len"), n.alias("__bytes"), "__table"))
 
 
 def offsets(parts: DataFrame, item: list[str], order: str, length: str) -> DataFrame:
@@ -185,10 +222,10 @@ def split(items: DataFrame, size_limits: DataFrame) -> tuple[DataFrame, DataFram
     return pieces, big
 
 
-def split_texts(items: DataFrame, texts: DataFrame, size_limits: DataFrame) -> DataFrame:
+def split_texts(items: DataFrame, texts: DataFrame, size_limits: DataFrame, slice_bytes: int = SLICE) -> DataFrame:
     """The pieces with their ``text`` (fragments of several parts joined by nothing) and ``n_tokens``.
 
-    `texts` is (part_no, text). Each part is offered only to the pieces that can cover it (by stride), so this is an
+    `texts` is (part_no, text); long ones are joined slice by slice. Each part is offered only to the pieces that can cover it (by stride), so this is an
     equi-join; a piece's fragments are gathered by piece, whose size is bounded by the limit. A fragment begins and ends
     on whole characters.
     """
@@ -202,11 +239,15 @@ def split_texts(items: DataFrame, texts: DataFrame, size_limits: DataFrame) -> D
         .select(*item, "piece_no", "part_no", "__off", "__len")
     )
     hit = offered.join(pieces, [*item, "piece_no"]).where((F.col("__off") < F.col("end_byte")) & (F.col("__off") + F.col("__len") > F.col("start_byte")))
-    hit = hit.join(texts.select("part_no", F.col("text").cast("binary").alias("__b")), "part_no")
     a = F.greatest(F.col("start_byte") - F.col("__off"), F.lit(0)).cast("int")
     n = (F.least(F.col("end_byte") - F.col("__off"), F.col("__len")) - F.greatest(F.col("start_byte") - F.col("__off"), F.lit(0))).cast("int")
+    # a piece lies in the slice it begins in, since slices go on for the longest piece
+    longest = (size_limits.agg(F.max("max_tokens")).first()[0] or 0) * 4
+    whole = max(slice_bytes, longest) // 4 * 4
+    hit = hit.withColumn("__j", F.floor(a / whole).cast("int"))
+    hit = hit.join(slices(texts.select("part_no", "text"), whole, 0, longest).withColumnRenamed("__data", "__b"), ["part_no", "__j"])
     # a start inside a character moves on to the next one: up to three continuation bytes are skipped
-    raw = F.substring(F.col("__b"), a + 1, n)
+    raw = F.substring(F.col("__b"), a - F.col("__j") * whole + 1, n)
     skip = F.length(F.regexp_extract(F.hex(F.substring(raw, 1, 3)), "^((?:[89AB][0-9A-F])*)", 1)) / 2
     frag = hit.withColumn("__raw", raw).withColumn("__raw", F.when(a > 0, F.substring(F.col("__raw"), skip.cast("int") + 1, n)).otherwise(F.col("__raw")))
     frag = frag.withColumn("__text", F.col("__raw").cast("string"))

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from mnemoweave.llm.splitting import best_boundary, boundary_tables, message_items, range_size, split_texts
+from mnemoweave.llm.splitting import best_boundary, boundary_tables, message_items, range_size, slices, split_texts
 
 LIMITS = "item_kind string, max_tokens int, overlap_tokens int"
 
@@ -115,3 +115,19 @@ def test_least_limit(spark):
     limits = spark.createDataFrame([("message", 2, 0)], LIMITS)
     with pytest.raises(Exception, match="max_tokens must be 3"):
         split_texts(message_items(boundary_tables(df, 8)), df, limits).collect()
+
+
+def test_slices(spark):
+    """A text's table and pieces are the same whether it is taken whole or in slices, and slices go to several tasks."""
+    rng = random.Random(9)
+    signs = ["a", "bc ", "\n", ". ", "é", "日", "🙂", "\n\n", "。", "x" * 50]
+    rows = [(i, "".join(rng.choice(signs) for _ in range(n))) for i, n in enumerate((4000, 3000, 10, 0, 2500))] + [(9, None)]
+    df = spark.createDataFrame(rows, "part_no long, text string")
+    for size in (1, 8, 37, 256):
+        want = {r["part_no"]: tuple(r) for r in boundary_tables(df, size).collect()}
+        assert {r["part_no"]: tuple(r) for r in boundary_tables(df, size, 1000).collect()} == want
+    limits = spark.createDataFrame([("message", 50, 5)], LIMITS)
+    items = message_items(boundary_tables(df, range_size(limits)))
+    want = sorted(map(tuple, split_texts(items, df, limits).collect()))
+    assert sorted(map(tuple, split_texts(items, df, limits, 1000).collect())) == want and len(want) > 100
+    assert slices(df, 1000, 4, 1).groupBy("part_no").count().where("count > 5").count() >= 3
