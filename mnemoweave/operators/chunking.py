@@ -2,8 +2,8 @@
 
 The packing is sequential by nature: where a group ends depends on where it began. Yet the next beginning after a row is
 known from running sums alone, so the rows form chains. Blocks of rows are worked out at once: which rows may be the last
-beginning of a block, and what each of them leads to in the next; only this table of a few rows per block is chained
-up, and then all blocks are marked at once. No task holds more than a block.
+beginning of a block, and what each of them leads to in the next; this table of a few rows per block is chained up, many
+blocks by one task and those by the driver, and then all blocks are marked at once. No task holds more than a block's rows.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from mnemoweave.session import checkpointed
 
 #: Tokens of a block, in budgets. A block's rows are narrow: two numbers and a place.
 BLOCK_BUDGETS = 256
+#: Blocks that are chained up by one task.
+TOGETHER = 1024
 #: Default budget of a chunk.
 BUDGET = 180_000
 
@@ -44,11 +46,12 @@ def _chain(x: np.ndarray, v: np.ndarray, budget: int) -> tuple[np.ndarray, np.nd
     return top, last
 
 
-def beginnings(rows: DataFrame, budget: int, x: str = "x", v: str = "v", order: str = "seq") -> DataFrame:
+def beginnings(rows: DataFrame, budget: int, x: str = "x", v: str = "v", order: str = "seq", place: str | None = None) -> DataFrame:
     """rows (order, x, v) with ``begins``: the first row begins a group, and after a beginning at j the next is the first row k
-    with v(k) > x(j) + budget. x doesn't fall along the order, and v >= x."""
+    with v(k) > x(j) + budget. x doesn't fall along the order, and v >= x. Blocks are cut by `place` (else x), a sum that doesn't
+    fall along the order and grows by no more than x."""
     width = budget * BLOCK_BUDGETS
-    cols = rows.select(F.col(order).alias("o"), F.col(x).alias("x"), F.col(v).alias("v"), F.floor(F.col(x) / width).alias("b"))
+    cols = rows.select(F.col(order).alias("o"), F.col(x).alias("x"), F.col(v).alias("v"), F.floor(F.col(place or x) / width).alias("b"))
 
     def ends(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("o")
@@ -73,16 +76,39 @@ def beginnings(rows: DataFrame, budget: int, x: str = "x", v: str = "v", order:
         return pd.DataFrame({"b": key[0], "entry": es, "exit": [int(xs[last[i]]) if i < len(xs) else int(e) for e, i in zip(es, k, strict=True)]})
 
     leads = cols.groupBy("b").cogroup(follow.groupBy("b")).applyInPandas(lead, "b long, entry long, exit long")
-    table = {(r["b"], r["entry"]): r["exit"] for r in leads.collect()}
-    current, entries = None, []
-    for r in sorted(blocks.select("b", "first", "fresh").collect()):
-        entries.append((r["b"], current))
-        if current is None:
-            current = r["fresh"]
-        else:
+    # what leads from where to where, the fresh beginning having no entry; a few rows per block
+    fresh = blocks.select("b", F.lit(None).cast("long").alias("entry"), F.col("fresh").alias("exit"))
+    steps = checkpointed(leads.unionByName(fresh).withColumn("s", F.floor(F.col("b") / TOGETHER)))
+
+    def through(df: pd.DataFrame, entry: float | None) -> list[tuple]:
+        """(b, entry, exit) of the blocks in order, from an entry into the first."""
+        now, out = entry, []
+        for b, d in df.groupby("b", sort=True):
+            known = dict(zip(d["entry"].fillna(-1), d["exit"], strict=True))
             # an entry that isn't listed passed a whole block by, so it lies more than a budget back: a fresh beginning
-            current = table.get((r["b"], current), r["fresh"])
-    at = rows.sparkSession.createDataFrame(entries, "b long, entry long")
+            nxt = known.get(-1 if now is None else now, known[-1])
+            out.append((b, now, nxt))
+            now = nxt
+        return out
+
+    def up(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        ways = [None, *df.loc[df["b"] == df["b"].min(), "entry"].dropna()]
+        return pd.DataFrame([(key[0], e, through(df, e)[-1][2]) for e in ways], columns=["s", "entry", "exit"])
+
+    def down(df: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        e = entry["entry"].iloc[0]
+        return pd.DataFrame([x[:2] for x in through(df, None if pd.isna(e) else e)], columns=["b", "entry"])
+
+    # blocks are put together by TOGETHER; only what leads through so many of them is chained up on the driver
+    current, entries = None, []
+    ways: dict = {}
+    for r in steps.groupBy("s").applyInPandas(up, "s long, entry long, exit long").collect():
+        ways.setdefault(r["s"], {})[r["entry"]] = r["exit"]
+    for s in sorted(ways):
+        entries.append((s, current))
+        current = ways[s].get(current, ways[s][None])
+    at_s = rows.sparkSession.createDataFrame(entries, "s long, entry long")
+    at = steps.groupBy("s").cogroup(at_s.groupBy("s")).applyInPandas(down, "b long, entry long")
 
     def mark(df: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("o")
@@ -114,7 +140,7 @@ def chunk_assignment(messages: DataFrame, budget: int = BUDGET, tokens: Column |
     total = rows.groupBy("run_no").agg(F.sum("tokens").alias("run_total"), F.min("before").alias("run_before"))
     # pieces: a gap of more than a budget before each run makes every run begin one
     x = F.col("before") + F.col("run_no") * (budget + 1)
-    piece = beginnings(rows.select("seq", x.alias("x"), x.alias("v")), budget).select("seq", "begins")
+    piece = beginnings(rows.select("seq", x.alias("x"), x.alias("v"), "before"), budget, place="before").select("seq", "begins")
     left = F.col("run_before") + F.col("run_total") - F.col("before")  # tokens from here to the run's end
     fits = F.col("begins") & (left <= budget)
     ends = rows.join(piece, "seq").join(total, "run_no").select("seq", F.col("before").alias("x"), F.when(fits, F.col("before") + left).otherwise(F.col("before") + F.col("tokens")).alias("v"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from mnemoweave.functions import text as X
 from mnemoweave.operators.claims import claim_id, deduped, fact_id
+from mnemoweave.session import checkpointed
 
 #: Categories of which one fact holds at a time.
 LATEST_ONLY = ("identity.name", "identity.handle", "identity.role", "identity.company")
@@ -113,42 +114,62 @@ def latest_only(store: DataFrame, categories: tuple[str, ...] = LATEST_ONLY) ->
 def fold_latest_only(claims: DataFrame, categories: tuple[str, ...] = LATEST_ONLY, prior: DataFrame | None = None) -> DataFrame:
     """(fact_id, category, status, last_seen_ts, confidence_max) of exclusive categories after claims file by file.
 
-    The survivor after each file depends on the one before, so each category is a fold over its narrow rows: one per (fact,
-    file), summed up before the shuffle. `prior` is a store to begin from.
+    After a file with evidence one fact of the category survives: of those active the best accepted one, else the best. So what
+    competes is the survivor before and the facts told since. Files up to one with evidence form an epoch; the best
+    accepted and the best other fact of each epoch are minima taken on the map side, and only facts that were best once
+    are gone through epoch by epoch, a few rows per file. `prior` is a store to begin from. Rejected facts stay so.
     """
+    has_evidence = F.size(F.coalesce("evidence", F.array().cast(claims.schema["evidence"].dataType))) > 0
     c = identified(claims).where(F.col("category").isin(*categories))
-    step = c.groupBy("category", "file_no", "fact_id").agg(
-        F.max("as_of").alias("ts"), F.max(F.when(~F.isnan("confidence"), F.col("confidence"))).alias("conf"), F.bool_or(F.col("wanted") == "accepted").alias("accepted"),
-        F.bool_or(F.size(F.coalesce("evidence", F.array().cast(claims.schema["evidence"].dataType))) > 0).alias("evident"),
-    )
-    rows = step.select("category", F.col("file_no").cast("long").alias("file_no"), "fact_id", "ts", "conf", "accepted", "evident", F.lit(None).cast("string").alias("status"))
+    told = c.groupBy("category", F.coalesce("file_no", F.lit(-1)).cast("long").alias("file_no"), "fact_id").agg(
+        F.max("as_of").alias("ts"), F.max(F.when(~F.isnan("confidence"), F.col("confidence"))).alias("conf"),
+        F.bool_or(F.col("wanted") == "accepted").alias("accepted"), F.bool_or(has_evidence).alias("evident"),
+    )
+    told = checkpointed(told)
+    files = told.groupBy("category", "file_no").agg(F.max(F.col("evident").cast("int")).alias("one"))
+    before = Window.partitionBy("category").orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files = files.select("category", "file_no", F.coalesce(F.sum("one").over(before), F.lit(0)).alias("epoch"))
+    ends = told.where("evident").select("category", "file_no").distinct().groupBy("category").agg(F.count("*").alias("__ends"))
+    rows = told.join(files, ["category", "file_no"]).select("category", "epoch", "fact_id", "ts", "conf", "accepted", F.lit(True).alias("live"), F.lit(False).alias("rejected"))
     if prior is not None:
-        rows = rows.unionByName(prior.where(F.col("category").isin(*categories)).select("category", F.lit(-1).cast("long").alias("file_no"), "fact_id", F.col("last_seen_ts").alias("ts"), F.col("confidence_max").alias("conf"), F.lit(False).alias("accepted"), F.lit(False).alias("evident"), "status"))
+        old = prior.where(F.col("category").isin(*categories))
+        rows = rows.unionByName(
+            old.select(
+                "category", F.lit(0).cast("long").alias("epoch"), "fact_id", F.col("last_seen_ts").alias("ts"), F.col("confidence_max").alias("conf"), (F.col("status") == "accepted").alias("accepted"),
+                F.col("status").isin("accepted", "needs_review").alias("live"), (F.col("status") == "rejected").alias("rejected"),
+            )
+        )
+    fact = Window.partitionBy("category", "fact_id")
+    so_far = fact.orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+    step = rows.groupBy("category", "epoch", "fact_id").agg(F.max("ts").alias("ts"), F.max("conf").alias("conf"), F.bool_or("accepted").alias("accepted"), F.bool_or("live").alias("live"), F.bool_or("rejected").alias("rejected"))
+    step = step.withColumn("ts", F.max("ts").over(so_far)).withColumn("conf", F.max("conf").over(so_far)).withColumn("rejected", F.max("rejected").over(fact))
+    step = checkpointed(step.join(F.broadcast(ends), "category", "left").withColumn("ended", F.col("epoch") < F.coalesce("__ends", F.lit(0))))  # a row per category
+    rank = F.struct((-F.coalesce("ts", F.lit(-1.0))).alias("a"), (-F.coalesce("conf", F.lit(0.0))).alias("b"), F.col("fact_id").alias("id"))
+    best = step.where("live and ended and not rejected").groupBy("category", "epoch", "accepted").agg(F.min(rank).alias("r")).select("category", "epoch", F.col("r.id").alias("fact_id"), F.lit(True).alias("best"))
+    ever = best.select("category", "fact_id").distinct()
+    few = step.where("live and ended and not rejected").join(ever, ["category", "fact_id"]).join(best, ["category", "epoch", "fact_id"], "left")
 
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        state: dict[str, list] = {}
-        for _, file in df.sort_values(["file_no", "fact_id"]).groupby("file_no", sort=True):
-            for r in file.itertuples():
-                s = state.get(r.fact_id)
-                wanted = r.status if isinstance(r.status, str) else "accepted" if r.accepted else "needs_review"
-                if s is None:
-                    state[r.fact_id] = [wanted, r.ts, r.conf]
-                    continue
-                if s[0] in ("needs_review", "superseded"):
-                    s[0] = wanted
-                s[1] = r.ts if pd.isna(s[1]) else s[1] if pd.isna(r.ts) else max(s[1], r.ts)
-                s[2] = r.conf if pd.isna(s[2]) else s[2] if pd.isna(r.conf) else max(s[2], r.conf)
-            if file["evident"].any():
-                live = [(k, s) for k, s in state.items() if s[0] in ("accepted", "needs_review")]
-                pool = [x for x in live if x[1][0] == "accepted"] or live
-                if pool:
-                    best = min(pool, key=lambda x: (1.0 if pd.isna(x[1][1]) else -x[1][1], 0.0 if pd.isna(x[1][2]) else -x[1][2], x[0]))[0]
-                    for k, s in live:
-                        if k != best:
-                            s[0] = "superseded"
-        return pd.DataFrame([(k, df["category"].iloc[0], s[0], s[1], s[2]) for k, s in state.items()], columns=["fact_id", "category", "status", "last_seen_ts", "confidence_max"])
-
-    return rows.groupBy("category").applyInPandas(run, "fact_id string, category string, status string, last_seen_ts double, confidence_max double")
+        place = lambda r: (1.0 if pd.isna(r[1]) else -r[1], 0.0 if pd.isna(r[2]) else -r[2], r[0])
+        now = None  # (fact_id, ts, conf, accepted)
+        for _, epoch in df.groupby("epoch", sort=True):
+            told = {r.fact_id: (r.fact_id, r.ts, r.conf, bool(r.accepted)) for r in epoch.itertuples() if pd.notna(r.best) or now is not None and r.fact_id == now[0]}
+            if now is not None:
+                again = told.get(now[0], now)
+                told[now[0]] = (*again[:3], now[3] or again[3])
+            pool = [r for r in told.values() if r[3]] or list(told.values())
+            now = min(pool, key=place)
+        return pd.DataFrame([(df["category"].iloc[0], now[0], now[3])], columns=["category", "__winner", "__sure"])
+
+    winners = few.groupBy("category").applyInPandas(run, "category string, __winner string, __sure boolean")
+    per = step.groupBy("category", "fact_id").agg(
+        F.bool_or("rejected").alias("rejected"), F.max("ts").alias("last_seen_ts"), F.max("conf").alias("confidence_max"),
+        F.bool_or(F.col("live") & ~F.col("ended")).alias("open"), F.coalesce(F.bool_or(F.when(~F.col("ended"), F.col("accepted"))), F.lit(False)).alias("open_accepted"),
+    )
+    mine = F.coalesce(F.col("fact_id") == F.col("__winner"), F.lit(False))
+    sure = F.col("open_accepted") | (mine & F.coalesce("__sure", F.lit(False)))
+    status = F.when(F.col("rejected"), "rejected").when(~mine & ~F.col("open"), "superseded").when(sure, "accepted").otherwise("needs_review")
+    return per.join(F.broadcast(winners), "category", "left").select("fact_id", "category", status.alias("status"), "last_seen_ts", "confidence_max")  # a row per category
 
 
 def evidence_rows(claims: DataFrame) -> DataFrame:

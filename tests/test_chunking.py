@@ -58,6 +58,7 @@ def test_fixtures(spark, rows, want):
 
 def test_random(spark, monkeypatch):
     monkeypatch.setattr(C, "BLOCK_BUDGETS", 3)  # many blocks
+    monkeypatch.setattr(C, "TOGETHER", 4)
     rng = random.Random(8)
     rows = []
     while len(rows) < 700:

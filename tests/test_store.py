@@ -210,3 +210,56 @@ def test_optional_fields(spark):
     df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
     got = sorted((r["i"], r["code"]) for r in K.optional_issues(df).collect())
     assert got == [(1, "schema.tags"), (2, "schema.tags"), (3, "schema.tags"), (5, "schema.notes"), (7, "schema.value"), (8, "schema.value"), (11, "schema.tags"), (12, "schema.notes"), (12, "schema.tags")]
+
+
+def fold_by_file(rows: list, prior: dict) -> dict:
+    """The plain fold over the files of one category."""
+    state = {k: list(v) for k, v in prior.items()}
+    for no in sorted({r[1] for r in rows}):
+        told: dict = {}
+        for r in (r for r in rows if r[1] == no):
+            t = told.setdefault(r[4], [False, None, None])
+            t[0] |= r[6] == "accepted"
+            t[1] = r[8][0] if t[1] is None else t[1] if r[8][0] is None else max(t[1], r[8][0])
+            t[2] = r[7] if t[2] is None else max(t[2], r[7])
+        for k, (acc, ts, conf) in told.items():
+            wanted = "accepted" if acc else "needs_review"
+            s = state.get(k)
+            if s is None:
+                state[k] = [wanted, ts, conf]
+                continue
+            if s[0] in ("needs_review", "superseded"):
+                s[0] = wanted
+            s[1] = ts if s[1] is None else s[1] if ts is None else max(s[1], ts)
+            s[2] = max(s[2], conf)
+        if any(r[9] for r in rows if r[1] == no):
+            live = {k: s for k, s in state.items() if s[0] in ("accepted", "needs_review")}
+            pool = {k: s for k, s in live.items() if s[0] == "accepted"} or live
+            if pool:
+                best = min(pool, key=lambda k: (1.0 if pool[k][1] is None else -pool[k][1], -pool[k][2], ids[k]))
+                for k, s in live.items():
+                    if k != best:
+                        s[0] = "superseded"
+    return {k: tuple(v) for k, v in state.items()}
+
+
+ids: dict = {}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_fold_over_files(spark, seed):
+    rng = random.Random(seed)
+    names = [f"N{i}" for i in range(6)]
+    rows = [
+        claim(i, file_no=rng.randrange(1, 9), category="identity.name", fact=rng.choice(names), status=rng.choice(["accepted", "needs_review", "needs_review"]), time=(rng.choice([None, 1.0, 2.0, 3.0]),), confidence=rng.choice([0.2, 0.5, 0.9]), evidence=[EV] if rng.random() < 0.6 else [])
+        for i in range(1, 26)
+    ]
+    rows.sort(key=lambda r: (r[1], r[0]))
+    df = spark.createDataFrame(rows, SCHEMA)
+    ids.clear()
+    ids.update({n: spark.range(1).select(K.fact_id(F.lit("identity.name"), F.lit(n), F.lit(None).cast("string"))).first()[0] for n in names})
+    prior = {n: (rng.choice(["accepted", "needs_review", "superseded", "rejected"]), rng.choice([None, 2.5]), 0.4) for n in names[:3]} if seed % 2 else {}
+    store = spark.createDataFrame([(ids[n], "identity.name", *v) for n, v in prior.items()], "fact_id string, category string, status string, last_seen_ts double, confidence_max double") if prior else None
+    name = {v: k for k, v in ids.items()}
+    got = {name[r["fact_id"]]: (r["status"], r["last_seen_ts"], r["confidence_max"]) for r in S.fold_latest_only(df, prior=store).collect()}
+    assert got == fold_by_file(rows, prior)
