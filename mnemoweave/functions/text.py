@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from collections.abc import Callable, Iterable
 
@@ -65,7 +66,7 @@ _FOLDED_OTHERWISE = _class_of(FOLDS)
 def casefolded(c: Column) -> Column:
     """Full Unicode case folding. Lower case where that is the same; else letter by letter, which only rows with one of
     ``FOLDS`` pay for. All in the JVM."""
-    table = F.create_map(*[F.lit(x) for pair in FOLDS.items() for x in pair])
+    table = F.from_json(F.lit(json.dumps(FOLDS)), "map<string,string>")  # one literal, read once when the plan is made
     letters = F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
     slow = F.array_join(F.transform(letters, lambda x: F.coalesce(F.try_element_at(table, x), F.lower(x))), "")
     return F.when(c.rlike(_FOLDED_OTHERWISE), slow).otherwise(F.lower(c))

@@ -70,21 +70,66 @@ def worklist(store: DataFrame, flags: DataFrame) -> DataFrame:
     return s.select("fact_id", "category", F.col("fact_text").alias("fact"), "stability", "confidence_max", "last_seen_ts", "status", F.coalesce("flags", F.array().cast("array<string>")).alias("flags"), F.lit(None).cast("string").alias("action"), F.lit(None).cast("string").alias("reason"))
 
 
+def evidence_lines(evidence: DataFrame, quote: int = 240, k: int = 3) -> DataFrame:
+    """(fact_id, __ev): the lines of each fact's best evidences; at most k, so what is gathered is bounded."""
+    line = F.concat(
+        F.lit("    - “"), X.ellipsis(X.single_line(F.col("quote")), quote), F.lit("” (`conv_id="), F.col("conv_id"), F.lit("`, `message_id="), F.col("message_id"),
+        F.lit("`, `ts="), X.format_ts(F.col("ts")), F.lit("`, `role="), F.col("role"), F.lit("`)\n"),
+    )
+    return top_evidence(evidence, k).groupBy("fact_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("l")))), lambda x: x["l"]), "").alias("__ev"))
+
+
 def fact_blocks(store: DataFrame, evidence: DataFrame, quote: int = 240, k: int = 3, with_status: bool = False) -> DataFrame:
     """Per fact its report key and Markdown block."""
-    line = F.concat(
-        F.lit("    - “"), X.ellipsis(X.single_line(F.col("quote")), quote), F.lit("” (`conv_id="), F.col("conv_id"), F.lit("`, `message_id="), F.col("message_id"), F.lit("`, `ts="), X.format_ts(F.col("ts")), F.lit("`, `role="), F.col("role"), F.lit("`)\n"),
-    )
-    ev = top_evidence(evidence, k).groupBy("fact_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", line.alias("l")))), lambda x: x["l"]), "").alias("__ev"))
-    s = store.join(ev, "fact_id", "left")
+    s = store.join(evidence_lines(evidence, quote, k), "fact_id", "left")
     block = F.concat(
         F.lit("- Fact: "), X.single_line(F.col("fact_text")), F.lit("\n"), F.concat(F.lit("  - Status: `"), F.col("status"), F.lit("`\n")) if with_status else F.lit(""),
         F.lit("  - As of: `"), X.format_ts(F.col("last_seen_ts")), F.lit("`\n  - Confidence: `"), F.coalesce(X.format_confidence(F.col("confidence_max")), F.lit("unknown")), F.lit("`\n"),
-        F.coalesce(F.concat(F.lit("  - Evidence:\n"), F.col("__ev")), F.lit("  - Evidence: (missing)\n")),
-    )
+        _evidence(),
+    )
     return s.select(*store.columns, X.report_key(F.col("category")).alias("report"), block.alias("block"))
 
 
+def _evidence() -> Column:
+    return F.coalesce(F.concat(F.lit("  - Evidence:\n"), F.col("__ev")), F.lit("  - Evidence: (missing)\n"))
+
+
+# Headings of the review document.
+REVIEW_HEADS = {"flagged": "Conflicts", "low_confidence": "Low-confidence items", "assistant_derived": "Assistant-derived (unconfirmed)", "other": "Other needs-review"}
+
+
+def review_lines(store: DataFrame, flags: DataFrame, derived: DataFrame, evidence: DataFrame, low: float = 0.6, quote: int = 240) -> DataFrame:
+    """(place, section, fact_id, line): the review document, a row per heading and per fact, in order of place and fact_id.
+
+    `flags` are (fact_id, flag_type, detail). A fact stands in the first section that it belongs to; a section without any says
+    so. Rows are ordered by range, not gathered.
+    """
+    queue = review_queue(store, flags, derived, low)
+    detail = F.concat(F.lit("  - Flag: `"), F.col("flag_type"), F.lit("`\n    - Detail: "), X.single_line(F.coalesce("detail", F.lit(""))), F.lit("\n"))
+    raised = flags.distinct().withColumn("__l", detail).groupBy("fact_id").agg(F.array_join(F.array_sort(F.collect_list("__l")), "").alias("__flags"))  # a few kinds per fact
+    rows = queue.join(store.drop("section"), "fact_id").join(raised, "fact_id", "left").join(derived, "fact_id", "left").join(evidence_lines(evidence, quote), "fact_id", "left")
+    sure = F.coalesce(X.format_confidence(F.col("confidence_max")), F.lit("unknown"))
+    said, mine = X.single_line(F.col("fact_text")), F.col("section")
+    tail = F.concat(F.lit("  - Status: `"), F.col("status"), F.lit("`\n"))
+    block = F.when(
+        mine == "flagged",
+        F.concat(F.lit("- Category: `"), F.col("category"), F.lit("`\n  - Fact ID: `"), F.col("fact_id"), F.lit("`\n  - Fact: "), said, F.lit("\n"), tail, F.coalesce("__flags", F.lit(""))),
+    ).otherwise(
+        F.concat(
+            F.lit("- Candidate: "), said, F.lit("\n  - Fact ID: `"), F.col("fact_id"), F.lit("`\n  - Category: `"), F.col("category"), F.lit("`\n"),
+            F.when(mine == "assistant_derived", F.concat(F.lit("  - Derived from: `"), F.col("derived_from"), F.lit("`\n"))).otherwise(""),
+            F.lit("  - Confidence: `"), sure, F.lit("`"), F.when(mine == "low_confidence", F.lit(f" (< `{low:.3f}`)")).otherwise(""), F.lit("\n"), tail,
+        )
+    )
+    place = lambda c: F.array_position(F.array(*map(F.lit, SECTIONS)), c).cast("int")
+    facts = rows.select(place(mine).alias("place"), "section", "fact_id", F.concat(block, _evidence()).alias("line"))
+    heads = store.sparkSession.createDataFrame(list(REVIEW_HEADS.items()), "section string, head string")
+    n = queue.groupBy("section").agg(F.count("*").alias("n"))
+    none = F.when(F.col("n").isNull(), F.lit("- (none)\n")).otherwise("")
+    heads = heads.join(n, "section", "left").select(place(F.col("section")).alias("place"), "section", F.lit(None).cast("string").alias("fact_id"), F.concat(F.lit("## "), F.col("head"), F.lit("\n"), none).alias("line"))
+    return heads.unionByName(facts).orderBy("place", F.col("fact_id").asc_nulls_first())
+
+
 TITLES = {"identity": "Identity", "preferences": "Preferences", "projects": "Projects", "goals": "Goals (Transient)", "constraints": "Constraints / Do-Not", "misc": "Misc"}
 
 

@@ -12,7 +12,7 @@ from mnemoweave.operators import claims as K
 from mnemoweave.operators import report as R
 from mnemoweave.operators import store as S
 from mnemoweave.operators.messages import with_defaults
-from mnemoweave.plans.dialect import STORE, duck, email_like, is_text, normalized, phone_like, strip
+from mnemoweave.plans.dialect import STORE, duck, email_like, is_text, normalized, phone_like, single_line, strip
 from mnemoweave.session import spread, table
 
 #: Budget of the queries' own packing: the largest message must fit.
@@ -380,6 +380,13 @@ def review_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.worklist(_t(spark, sf_dir, "facts"), _flags(spark, sf_dir)).select("fact_id", "category", "stability", "status", F.array_join("flags", ",").alias("flags"))
 
 
+def review_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review document's blocks without their evidence lines, which top_evidence and render_docs have."""
+    flags = _flags(spark, sf_dir).withColumn("detail", F.lit("two\n words"))
+    lines = R.review_lines(_t(spark, sf_dir, "facts"), flags, _derived(spark, sf_dir), _t(spark, sf_dir, "evidence"))
+    return lines.select("place", "section", "fact_id", F.split_part("line", F.lit("  - Evidence"), F.lit(1)).alias("line"))
+
+
 def render_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = R.fact_blocks(R.report_filter(_t(spark, sf_dir, "facts")), _t(spark, sf_dir, "evidence"))
     return R.render_lines(blocks).select("report", "fact_id", F.sha2("line", 256).alias("line"))
@@ -428,7 +435,7 @@ _NAMES = (
     "chunk_assignment chunk_oversize_split chunk_budget_violations chunk_meta chunk_sha256 chunk_stats chunk_select render_prompts chunk_id_parse claim_line_format_gate jsonl_scan_permissive validate_safety validate_strict validation_summary validation_totals "
     "validation_gate validate_optional_lines merge_secret_refusal merge_required_recheck merge_incremental decision_review_ids decisions_by_hand flag_ids canonical_json fact_id claims_dedupe merge_status_coercion facts_upsert facts_status latest_only_winner latest_only_fold evidence_dedupe fact_claim_links stability_change_flags exclusive_conflicts merge_stats action_to_status "
     "review_actions_parse apply_decisions decision_audit decision_cutoffs reopen_rejected action_mismatch flags_by_fact derived_from_rollup report_filter report_order facts_sorted top_evidence report_counts facts_by_status facts_by_stability review_queue review_counts "
-    "review_worklist render_docs render_secret_gate chunk_progress progress_missing progress_next progress_stale run_status"
+    "review_worklist review_document render_docs render_secret_gate chunk_progress progress_missing progress_next progress_stale run_status"
 ).split()
 _FAMILIES = {
     "validate_required": ("schema.category", "schema.fact"), "validate_enums": ("schema.stability", "schema.status", "schema.derived_from"), "validate_confidence": ("schema.confidence",), "validate_time": ("schema.time", "schema.time.as_of_ts"),
@@ -580,6 +587,14 @@ SELECT item, CAST(n AS BIGINT) AS n, coalesce(good, n = 0) AS ok FROM x""",
     "review_queue": _QUEUE + "SELECT fact_id, CASE WHEN flagged THEN 'flagged' WHEN confidence_max < 0.6 THEN 'low_confidence' WHEN derived_from IN ('assistant', 'mixed') THEN 'assistant_derived' ELSE 'other' END AS section FROM q",
     "review_counts": _QUEUE + "SELECT count(*) FILTER (flagged) AS flagged, count(*) FILTER (confidence_max < 0.6) AS low_confidence, count(*) FILTER (derived_from IN ('assistant', 'mixed')) AS assistant_derived, count(*) AS needs_review FROM q",
     "review_worklist": f"WITH {_FLAGS.format(0.5)}, g AS (SELECT fact_id, string_agg(DISTINCT flag_type, ',' ORDER BY flag_type) flags FROM flags GROUP BY 1) SELECT fact_id, category, stability, status, coalesce(flags, '') AS flags FROM facts LEFT JOIN g USING (fact_id) WHERE status = 'needs_review'",
+    "review_document": _QUEUE + f""", s AS (SELECT *, CASE WHEN flagged THEN 1 WHEN confidence_max < 0.6 THEN 2 WHEN derived_from IN ('assistant', 'mixed') THEN 3 ELSE 4 END place FROM q),
+g AS (SELECT fact_id, string_agg(DISTINCT '  - Flag: `' || flag_type || '`' || chr(10) || '    - Detail: two words' || chr(10), '' ORDER BY '  - Flag: `' || flag_type || '`' || chr(10) || '    - Detail: two words' || chr(10)) lines FROM flags GROUP BY 1),
+h AS (SELECT unnest([1, 2, 3, 4]) place, unnest(['Conflicts', 'Low-confidence items', 'Assistant-derived (unconfirmed)', 'Other needs-review']) head),
+b AS (SELECT place, fact_id, CASE WHEN place = 1 THEN '- Category: `' || category || '`' || chr(10) || '  - Fact ID: `' || fact_id || '`' || chr(10) || '  - Fact: ' || {single_line('fact_text')} || chr(10) || '  - Status: `needs_review`' || chr(10) || lines
+  ELSE '- Candidate: ' || {single_line('fact_text')} || chr(10) || '  - Fact ID: `' || fact_id || '`' || chr(10) || '  - Category: `' || category || '`' || chr(10) || CASE WHEN place = 3 THEN '  - Derived from: `' || derived_from || '`' || chr(10) ELSE '' END
+    || '  - Confidence: `' || coalesce(printf('%.3f', confidence_max), 'unknown') || '`' || CASE WHEN place = 2 THEN ' (< `0.600`)' ELSE '' END || chr(10) || '  - Status: `needs_review`' || chr(10) END line FROM s LEFT JOIN g USING (fact_id))
+SELECT place, ['flagged', 'low_confidence', 'assistant_derived', 'other'][place] AS section, fact_id, line FROM b
+UNION ALL SELECT place, ['flagged', 'low_confidence', 'assistant_derived', 'other'][place], NULL, '## ' || head || chr(10) || CASE WHEN place NOT IN (SELECT place FROM b) THEN '- (none)' || chr(10) ELSE '' END FROM h""",
     "chunk_progress": f"WITH {_DONE} SELECT chunk_id, sha AS chunk_sha256, n AS claims_objects, 'ok' AS note FROM d",
     "progress_missing": f"WITH {_DONE} SELECT DISTINCT chunk_id FROM chunk_meta WHERE chunk_id NOT IN (SELECT chunk_id FROM d)",
     "progress_next": f"WITH {_DONE} SELECT min(chunk_id) AS next_chunk FROM chunk_meta WHERE chunk_id NOT IN (SELECT chunk_id FROM d)",
