@@ -146,5 +146,7 @@ def pack(items: DataFrame, capacity: int, size: str = "n_tokens", key: tuple[str
 
 def packed_documents(documents: DataFrame, size_limits: DataFrame, path: str | None = None, kind: str = "container") -> DataFrame:
     """(doc_id, piece_no, start_token, n_tokens, container_id) for every document; only texts above the capacity are cut."""
-    capacity = int(size_limits.where(F.col("item_kind") == kind).agg(F.max("max_tokens")).first()[0])
+    capacity = size_limits.where(F.col("item_kind") == kind).agg(F.max("max_tokens")).first()[0]
+    if capacity is None:
+        raise ValueError(f"no limit for {kind}")
     return pack(checkpointed(pieces(documents, capacity, path)), capacity).select("doc_id", "piece_no", "start_token", "n_tokens", "container_id")
