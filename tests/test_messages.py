@@ -64,7 +64,7 @@ def test_view(spark):
 
 def test_extract_text_of_every_row(spark, tmp_path):
     """Held against the plain rules, also for nulls and for texts that look like JSON."""
-    from mnemoweave.plans.texts import extract_text_all
+    from mnemoweave.plans.texts import extract_text
 
     texts = ["plain", None, "", "a \\ b", 'say "x"', "{not json", "[1, 2", ' {"text": "in"} \n', '{"no": 1}', "[1, 2]", "{}", '{"text": "q\\"\\u00e9"}', "end \n\t ", '{"text": null}']
     rows = [(i, t) for i, t in enumerate(texts * 3)]  # 14 texts: each meets every kind
@@ -83,4 +83,4 @@ def test_extract_text_of_every_row(spark, tmp_path):
         mixed = [p if isinstance(p, str) else p["text"] for p in parts if isinstance(p, str) or isinstance(p, dict) and isinstance(p.get("text"), str)]
         return ("\n".join(strings).rstrip(), "\n".join(mixed).rstrip(), "")[seq % 3]
 
-    assert {r["seq"]: r["text"] for r in extract_text_all(spark, str(tmp_path)).collect()} == {i: plain(i, t) for i, t in rows}
+    assert {r["seq"]: r["text"] for r in extract_text(spark, str(tmp_path)).collect()} == {i: plain(i, t) for i, t in rows}
